@@ -75,6 +75,17 @@ def attach(df: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     return skew_join(df, facts, keys, "left", null_safe=True)
 
 
+def full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join as a left join plus the right rows without a partner.
+
+    A plain full outer join can neither be broadcast nor split on a hot key;
+    both halves here can.
+    """
+    matched = left.join(right, keys, "left")
+    lonely = right.join(left.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
+
+
 def grid(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Every combination of two small relations; refuses sides above ``max_rows``."""
     for side in (left, right):
