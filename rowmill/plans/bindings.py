@@ -51,11 +51,11 @@ def bom(t) -> DataFrame:
 
 # Order lines as item rows; the unit price is derived.
 ITEMS = """items AS (SELECT l_orderkey AS order_id, l_partkey AS product_id, l_quantity::BIGINT AS quantity,
-    l_extendedprice::DECIMAL(18,2) AS gross, (l_extendedprice * l_discount)::DECIMAL(18,2) AS discount FROM lineitem)"""
+    l_extendedprice::DECIMAL(18,2) AS gross, l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2) AS discount FROM lineitem)"""
 
 
 def items(t) -> DataFrame:
     return t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"), money("l_extendedprice").alias("gross"),
-        money(F.col("l_extendedprice") * F.col("l_discount")).alias("discount"))
+        (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).alias("discount"))

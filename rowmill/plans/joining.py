@@ -66,7 +66,7 @@ def cross(t):
     return grid(t.region.select("r_name"), t.customer.select("c_mktsegment").distinct())
 
 
-WIDE = """SELECT o_orderkey, o_orderdate, c_name, n_name, p_name, l_quantity, l_extendedprice FROM orders
+WIDE = """SELECT o_orderkey, o_orderdate, c_name, n_name, p_name, p_retailprice, l_quantity, l_extendedprice FROM orders
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
 
@@ -76,8 +76,8 @@ def wide_orders(t):
     return (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
             .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(c.select("c_custkey", "c_name", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-            .select("o_orderkey", "o_orderdate", "c_name", "n_name", "p_name", "l_quantity", "l_extendedprice"))
+            .join(t.part.select("p_partkey", "p_name", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+            .select("o_orderkey", "o_orderdate", "c_name", "n_name", "p_name", "p_retailprice", "l_quantity", "l_extendedprice"))
 
 
 @query("jn_08_multiway", "JN-08", sql=WIDE)

@@ -52,12 +52,10 @@ def third_form(t):
 
 
 @query("nz_04_wide_read", "NZ-04", sql=f"""
-    SELECT o_orderkey, c_name, p_name, (l_quantity::BIGINT * price)::DOUBLE AS line_total FROM
-      (SELECT *, (l_extendedprice / l_quantity)::DECIMAL(18,2) AS price FROM ({WIDE}))""")
+    SELECT o_orderkey, c_name, p_name, (l_quantity::BIGINT * p_retailprice::DECIMAL(18,2))::DOUBLE AS line_total FROM ({WIDE})""")
 def wide_read(t):
-    price = money(F.col("l_extendedprice") / F.col("l_quantity"))
-    return wide_orders(t).select("o_orderkey", "c_name", "p_name",
-                                 (F.col("l_quantity").cast("bigint") * price).cast("double").alias("line_total"))
+    total = F.col("l_quantity").cast("bigint") * money("p_retailprice")
+    return wide_orders(t).select("o_orderkey", "c_name", "p_name", total.cast("double").alias("line_total"))
 
 
 @query("nz_05_order_totals", "NZ-05", sql="""
