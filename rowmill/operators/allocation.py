@@ -11,6 +11,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowmill.operators import joins
 from rowmill.operators.joins import skew_join
 from rowmill.operators.ordered import names, running_sums, slices_needed, sort_keys
 from rowmill.session import materialize
@@ -126,31 +127,75 @@ def post_unchecked(legs: DataFrame, accounts: DataFrame, order: list[str], balan
 def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], balance: str, floor: str) -> DataFrame:
     """Accept or refuse each request, a set of legs that stand or fall together, in order.
 
-    A request is accepted if every leg with a negative delta leaves its
-    account at or above ``floor``, given the accepted earlier requests.
-    Requests that touch an unknown account are refused. ``ident`` names the
-    request and ends ``order``; legs of one request on one account are added
-    up first.
-
-    Each round judges all requests under the decisions of the round before,
-    with one running sum per account. A decision depends on earlier requests
-    only, so the sequential outcome is the one set of decisions that a round
-    leaves unchanged, and each round settles at least the first open request.
+    A request is accepted if each account it debits stays at or above
+    ``floor``, given the accepted earlier requests. Requests that touch an
+    unknown account are refused. ``ident`` names the request and ends ``order``.
+
+    Each round brackets the balance before every open request between the
+    outcomes where all, or none, of the open earlier debits happen (and the
+    reverse for credits). Requests that pass even at the lower end are
+    accepted, those that fail even at the upper end are refused; the rest stay
+    open. The first open request has an exact balance, so every round makes
+    progress, and only open legs are carried on. What stays open after the
+    first round is replayed in one task once it has at most TASK_ROWS legs.
     """
     keys = names(order)
-    net = legs.groupBy(*keys, "account").agg(F.sum("delta").alias("delta"))
-    net = skew_join(net, balances.select("account", F.col(balance).alias("_start"), F.col(floor).alias("_floor")), ["account"], "left")
-    unknown = net.filter(F.col("_start").isNull()).select(ident).distinct()
-    net = materialize(net.join(unknown, ident, "left_anti"))
-    decided = net.select(ident).distinct().withColumn("accepted", F.lit(True))
+    net = legs.groupBy(*keys, "account").agg(F.sum("delta").alias("delta"), F.sum(F.least("delta", F.lit(0))).alias("_debit"))
+    net = skew_join(net, balances.select("account", F.col(balance).alias("_base"), F.col(floor).alias("_floor")), ["account"], "left")
+    net = materialize(net)
+    unknown = net.filter(F.col("_base").isNull()).select(ident).distinct()
+    done = [unknown.withColumn("accepted", F.lit(False))]
+    rows = net.join(unknown, ident, "left_anti").withColumn("_sure", F.lit(False))
+    first = True
     while True:
-        rows = skew_join(net, decided, [ident])
-        rows = running_sums(rows, ["account"], order, {"_sum": F.when(F.col("accepted"), F.col("delta")).otherwise(0)})
-        before = F.col("_sum") - F.when(F.col("accepted"), F.col("delta")).otherwise(0)
-        covered = (F.col("delta") >= 0) | (F.col("_start") + before + F.col("delta") >= F.col("_floor"))
-        fresh = materialize(rows.groupBy(ident).agg(F.bool_and(covered).alias("accepted"), F.bool_or("accepted").alias("_was")))
-        changed = fresh.filter(F.col("accepted") != F.col("_was"))
-        decided = fresh.drop("_was")
-        if changed.isEmpty():
+        run = running_sums(rows, ["account"], order, {
+            "_known": F.when(F.col("_sure"), F.col("delta")).otherwise(0),
+            "_down": F.when(F.col("_sure"), 0).otherwise(F.least("delta", F.lit(0))),
+            "_up": F.when(F.col("_sure"), 0).otherwise(F.greatest("delta", F.lit(0)))})
+        still = run.filter(~F.col("_sure")).withColumns({
+            "_base": F.col("_base") + F.col("_known"),
+            "_down": F.col("_down") - F.least("delta", F.lit(0)), "_up": F.col("_up") - F.greatest("delta", F.lit(0))})
+        still = materialize(still.drop("_known", "_sure"))
+        if not first and still.count() <= joins.TASK_ROWS:
+            done.append(_replay(still, ident, order))
+            break
+        first = False
+        safe = (F.col("_debit") >= 0) | (F.col("_base") + F.col("_down") + F.col("_debit") >= F.col("_floor"))
+        hopeless = (F.col("_debit") < 0) & (F.col("_base") + F.col("_up") + F.col("_debit") < F.col("_floor"))
+        verdict = materialize(still.groupBy(ident).agg(F.bool_and(safe).alias("_yes"), F.bool_or(hopeless).alias("_no")))
+        done.append(verdict.filter("_yes OR _no").select(ident, F.col("_yes").alias("accepted")))
+        if verdict.filter("NOT _yes AND NOT _no").isEmpty():
             break
-    return decided.unionByName(unknown.withColumn("accepted", F.lit(False)))
+        rows = skew_join(still.drop("_down", "_up"), verdict, [ident]).filter("NOT _no")
+        rows = rows.withColumn("_sure", F.col("_yes")).drop("_yes", "_no")
+    return reduce(DataFrame.unionByName, done)
+
+
+def _replay(still: DataFrame, ident: str, order: list[str]) -> DataFrame:
+    """Judge a bounded number of open legs one request at a time, in one sorted partition."""
+
+    def judge(batches):
+        moved, current, held = {}, None, []
+
+        def close():
+            ok = all(d >= 0 or base + moved.get(a, 0) + d >= low for a, _, d, base, low in held)
+            if ok:
+                for a, delta, *_ in held:
+                    moved[a] = moved.get(a, 0) + delta
+            return current, ok
+
+        for pdf in batches:
+            out = []
+            for key, *leg in zip(*(pdf[c].tolist() for c in (ident, "account", "delta", "_debit", "_base", "_floor"))):
+                if key != current and held:
+                    out.append(close())
+                    held = []
+                current = key
+                held.append(leg)
+            yield pd.DataFrame(out, columns=[ident, "accepted"])
+        if held:
+            yield pd.DataFrame([close()], columns=[ident, "accepted"])
+
+    kind = still.schema[ident].dataType.simpleString()
+    rows = still.coalesce(1).sortWithinPartitions(*sort_keys(order))
+    return rows.mapInPandas(judge, f"{ident} {kind}, accepted boolean")

@@ -18,18 +18,19 @@ def frequent_pairs(lines: DataFrame, basket: str, item: str, min_count: int, top
     basket's highest count, and the top pair of each basket gives ``top``
     counts that the result must reach. Both bounds are exact.
     """
-    counts = materialize(lines.groupBy(basket, item).agg(F.count("*").alias("_m")))
-    most = counts.groupBy(basket).agg(F.max("_m").alias("_most"), F.count("*").alias("_items")).filter("_items > 1")
-    best = top_rows(counts, [basket], ["-_m", item], 2, "_rn")
-    best = best.groupBy(basket).agg(F.min(item).alias("a"), F.max(item).alias("b"), F.product("_m").alias("_n"), F.count("*").alias("_k"))
-    leaders = best.filter("_k = 2").groupBy("a", "b").agg(F.sum("_n").alias("_n")).orderBy(F.desc("_n")).limit(top)
-    reached, lowest = leaders.agg(F.count("*"), F.min("_n")).first()
-    needed = max(min_count, int(lowest)) if reached == top else min_count
-    bounded = skew_join(counts, most.drop("_items"), [basket])
-    useful = bounded.groupBy(item).agg(F.sum(F.col("_m") * F.col("_most")).alias("_bound")).filter(F.col("_bound") >= needed)
-    kept = materialize(skew_join(bounded, useful.select(item), [item], "left_semi").drop("_most"))
-    a = kept.select(basket, F.col(item).alias("item_a"), F.col("_m").alias("_ma"))
-    b = kept.select(basket, F.col(item).alias("item_b"), F.col("_m").alias("_mb"))
-    pairs = a.join(b, basket).filter("item_a < item_b").groupBy("item_a", "item_b").agg(
-        F.sum(F.col("_ma") * F.col("_mb")).alias("together"))
+    lines = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
+    counts = materialize(lines.groupBy("basket", "item").agg(F.count("*").alias("m")))
+    most = counts.groupBy("basket").agg(F.max("m").alias("most"), F.count("*").alias("items")).filter("items > 1")
+    best = top_rows(counts, ["basket"], ["-m", "item"], 2).groupBy("basket").agg(
+        F.min("item").alias("a"), F.max("item").alias("b"), F.min("m").alias("low"), F.max("m").alias("high"), F.count("*").alias("k"))
+    leaders = best.filter("k = 2").groupBy("a", "b").agg(F.sum(F.col("low") * F.col("high")).alias("n")).orderBy(F.desc("n")).limit(top)
+    reached, lowest = leaders.agg(F.count("*"), F.min("n")).first()
+    needed = max(min_count, lowest) if reached == top else min_count
+    bounded = skew_join(counts, most.drop("items"), ["basket"])
+    useful = bounded.groupBy("item").agg(F.sum(F.col("m") * F.col("most")).alias("bound")).filter(F.col("bound") >= needed)
+    kept = materialize(skew_join(bounded, useful.select("item"), ["item"], "left_semi").drop("most"))
+    a = kept.select("basket", F.col("item").alias("item_a"), F.col("m").alias("m_a"))
+    b = kept.select("basket", F.col("item").alias("item_b"), F.col("m").alias("m_b"))
+    pairs = a.join(b, "basket").filter("item_a < item_b").groupBy("item_a", "item_b").agg(
+        F.sum(F.col("m_a") * F.col("m_b")).alias("together"))
     return pairs.filter(F.col("together") >= min_count).orderBy(F.desc("together"), "item_a", "item_b").limit(top)

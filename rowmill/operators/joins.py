@@ -8,14 +8,23 @@ from rowmill.session import materialize, plan_bytes
 
 TASK_ROWS = 2_000_000  # rows of one key that one task may take
 HOT_SHARE = 1 / 2000  # a hot key holds more than this share, so there are fewer than 2000 of them
-SMALL_BYTES = 8 << 20  # inputs below this size are handled by one task without a check
-BROADCAST_BYTES = 64 << 20  # largest table sent to every executor
+SMALL_BYTES = 32 << 20  # a table of this stored size is fair work for one task, so its groups need no check
 
 
-def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast only when Catalyst's size estimate proves the table small."""
+def is_small(df: DataFrame) -> bool:
     size = plan_bytes(df)
-    return F.broadcast(df) if size is not None and size <= (limit or BROADCAST_BYTES) else df
+    return size is not None and size <= SMALL_BYTES
+
+
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows, rows of the largest group); one aggregation that reads the key columns only."""
+    total, largest = df.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
+    return total or 0, largest or 0
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only when Catalyst's size estimate shows the table to be small."""
+    return F.broadcast(df) if is_small(df) else df
 
 
 def _on(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> tuple[DataFrame, Column]:
@@ -48,17 +57,14 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
-    for side in (left, right):
-        size = plan_bytes(side)
-        if size is not None and size <= SMALL_BYTES:
-            return equi_join(left, right, keys, how, null_safe)
-    counts = left.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
+    if is_small(left) or is_small(right):
+        return equi_join(left, bounded_broadcast(right), keys, how, null_safe)
+    total, largest = group_sizes(left, keys)
     bound = max(TASK_ROWS, int(total * HOT_SHARE))
-    hot = materialize(counts.filter(F.col("_n") > bound)
-                      .select(*keys, F.ceil(F.col("_n") / bound).cast("int").alias("_salts")))
-    if hot.isEmpty():
+    if largest <= bound:
         return equi_join(left, right, keys, how, null_safe)
+    hot = materialize(left.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > bound)
+                      .select(*keys, F.ceil(F.col("_n") / bound).cast("int").alias("_salts")))
     columns = left.columns
     left = materialize(left).withColumn("_row", F.monotonically_increasing_id())
     left = equi_join(left, F.broadcast(hot), keys, "left", True)

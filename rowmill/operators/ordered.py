@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from rowmill.operators import joins
 from rowmill.operators.joins import attach
-from rowmill.session import materialize, plan_bytes
+from rowmill.session import materialize
 
 SLICE = "_slice"
 
@@ -39,11 +39,10 @@ def flipped(order: list[str]) -> list[str]:
 
 def slices_needed(df: DataFrame, part: list[str]) -> int:
     """0 when each group fits one task, else the number of slices to use."""
-    size = plan_bytes(df)
-    if size is not None and size <= joins.SMALL_BYTES:
+    if joins.is_small(df):
         return 0
-    total, largest = df.groupBy(*part).count().agg(F.sum("count"), F.max("count")).first()
-    if (largest or 0) <= joins.TASK_ROWS:
+    total, largest = joins.group_sizes(df, part)
+    if largest <= joins.TASK_ROWS:
         return 0
     return max(2, math.ceil(2 * total / joins.TASK_ROWS))
 

@@ -21,5 +21,5 @@ def small_tasks(monkeypatch):
     """Make every group count as big, so the sliced and salted forms run."""
     from rowmill.operators import joins
 
-    monkeypatch.setattr(joins, "TASK_ROWS", 40)
+    monkeypatch.setattr(joins, "TASK_ROWS", 120)
     monkeypatch.setattr(joins, "SMALL_BYTES", 0)
