@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.operators import joins
 from rowmill.operators.joins import skew_join
-from rowmill.operators.ordered import names, running_sums, slices_needed, sort_keys
+from rowmill.operators.ordered import names, plan_slices, running_sums, sort_keys
 from rowmill.session import materialize
 
 
@@ -25,7 +25,8 @@ def allocate(requests: DataFrame, stock: DataFrame, product: str, order: list[st
     """
     rows = skew_join(requests, stock.select(product, F.col(level).alias("_left")), [product], "left")
     rows = rows.withColumn("_left", F.coalesce(F.col("_left"), F.lit(0)).cast("bigint"))
-    if slices_needed(rows, [product]):
+    rows, slices = plan_slices(rows, [product])
+    if slices:
         out = _allocate_by_rounds(rows, product, order, qty)
     else:
         out = _allocate_in_tasks(rows, product, order, qty)

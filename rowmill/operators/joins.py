@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.session import materialize, plan_bytes
+from rowmill.session import materialize, plan_bytes, settled
 
 TASK_ROWS = 2_000_000  # rows of one key that one task may take
 HOT_SHARE = 1 / 2000  # a hot key holds more than this share, so there are fewer than 2000 of them
@@ -50,15 +50,19 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
               null_safe: bool = False) -> DataFrame:
     """Equi join (inner, left, left_semi, left_anti) whose hot left keys are spread over many tasks.
 
-    A key is hot above both TASK_ROWS and HOT_SHARE of the left rows. Hot left
-    rows get a salt; the matching right rows are repeated once per salt.
-    Adaptive execution splits skewed scans by itself; this form also covers a
-    right side that is an aggregate, where it does not.
+    A right side that proves small is broadcast. Otherwise a key is hot above
+    both TASK_ROWS and HOT_SHARE of the left rows; hot left rows get a salt and
+    the matching right rows are repeated once per salt. Adaptive execution
+    splits skewed scans by itself; this form also covers a right side that is
+    an aggregate, where it does not.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
+    if not is_small(left) and not is_small(right):
+        right = settled(right)  # its stored size is then known
     if is_small(left) or is_small(right):
         return equi_join(left, bounded_broadcast(right), keys, how, null_safe)
+    left = settled(left)
     total, largest = group_sizes(left, keys)
     bound = max(TASK_ROWS, int(total * HOT_SHARE))
     if largest <= bound:

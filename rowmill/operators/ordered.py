@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from rowmill.operators import joins
 from rowmill.operators.joins import attach
-from rowmill.session import materialize
+from rowmill.session import materialize, settled
 
 SLICE = "_slice"
 
@@ -37,14 +37,13 @@ def flipped(order: list[str]) -> list[str]:
     return [c[1:] if c.startswith("-") else f"-{c}" for c in order]
 
 
-def slices_needed(df: DataFrame, part: list[str]) -> int:
-    """0 when each group fits one task, else the number of slices to use."""
+def plan_slices(df: DataFrame, part: list[str]) -> tuple[DataFrame, int]:
+    """(rows to go on with, number of slices); 0 slices when each group fits one task."""
     if joins.is_small(df):
-        return 0
+        return df, 0
+    df = settled(df)
     total, largest = joins.group_sizes(df, part)
-    if largest <= joins.TASK_ROWS:
-        return 0
-    return max(2, math.ceil(2 * total / joins.TASK_ROWS))
+    return df, 0 if largest <= joins.TASK_ROWS else max(2, math.ceil(2 * total / joins.TASK_ROWS))
 
 
 def _sliced(df: DataFrame, part: list[str], order: list[str], n: int) -> DataFrame:
@@ -58,7 +57,7 @@ def _group(part: list[str]) -> Column:
 
 def running_sums(df: DataFrame, part: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
     """Add one running sum per entry: all rows of the group up to and including this one."""
-    n = slices_needed(df, part)
+    df, n = plan_slices(df, part)
     if not n:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order)).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(w).alias(k) for k, c in sums.items()])
@@ -93,7 +92,7 @@ def _running_sums_sliced(df: DataFrame, part: list[str], order: list[str], sums:
 
 def number_rows(df: DataFrame, part: list[str], order: list[str], name: str = "rn") -> DataFrame:
     """ROW_NUMBER as BIGINT."""
-    n = slices_needed(df, part)
+    df, n = plan_slices(df, part)
     if not n:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order))
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
@@ -102,7 +101,8 @@ def number_rows(df: DataFrame, part: list[str], order: list[str], name: str = "r
 
 def peer_sums(df: DataFrame, part: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
     """Running sums under the default RANGE frame: rows with equal order values share one result."""
-    if not slices_needed(df, part):
+    df, n = plan_slices(df, part)
+    if not n:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order))
         return df.select("*", *[F.sum(c).over(w).alias(k) for k, c in sums.items()])
     keys = part + names(order)
@@ -128,7 +128,8 @@ def ranks(df: DataFrame, part: list[str], order: list[str], *, rank: str | None
     """
     wanted = {"rank": rank, "dense": dense, "percent": percent, "cume": cume}
     wanted = {k: v for k, v in wanted.items() if v}
-    if not slices_needed(df, part):
+    df, n = plan_slices(df, part)
+    if not n:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order))
         native = {"rank": F.rank().over(w).cast("bigint"), "dense": F.dense_rank().over(w).cast("bigint"),
                   "percent": F.percent_rank().over(w), "cume": F.cume_dist().over(w)}
@@ -149,10 +150,12 @@ def ranks(df: DataFrame, part: list[str], order: list[str], *, rank: str | None
 
 def tiles(df: DataFrame, part: list[str], order: list[str], n: int, name: str = "tile") -> DataFrame:
     """NTILE(n) as BIGINT: bucket sizes differ by at most one, larger buckets first."""
-    if not slices_needed(df, part):
+    df, n_slices = plan_slices(df, part)
+    if not n_slices:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order))
         return df.withColumn(name, F.ntile(n).over(w).cast("bigint"))
-    out = totals(number_rows(df, part, order, "_rn"), part, {"_all": F.count("*")})
+    rows = _running_sums_sliced(df, part, order, {"_rn": F.lit(1).cast("bigint")}, n_slices)
+    out = totals(rows, part, {"_all": F.count("*")})
     small = F.floor(F.col("_all") / n)
     extra = F.col("_all") % n
     in_large = extra * (small + 1)
@@ -165,7 +168,7 @@ def tiles(df: DataFrame, part: list[str], order: list[str], n: int, name: str =
 def framed(df: DataFrame, part: list[str], order: list[str], exprs: dict[str, Callable[[WindowSpec], Column]],
            before: int = 0, after: int = 0) -> DataFrame:
     """Window expressions that look at most ``before`` rows back and ``after`` rows ahead (LAG, LEAD, moving frames)."""
-    n = slices_needed(df, part)
+    df, n = plan_slices(df, part)
     if not n:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order))
         return df.select("*", *[f(w).alias(k) for k, f in exprs.items()])

@@ -71,9 +71,9 @@ def update_cascade(child: DataFrame, column: str, renamed: DataFrame) -> DataFra
 
 
 def check_dependency(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
-    """Left values that do not determine the right values. Comparing the smallest with the largest needs no distinct set."""
-    both = df.groupBy(*left).agg(F.min(F.struct(*right)).alias("lowest"), F.max(F.struct(*right)).alias("highest"))
-    return both.filter(~F.col("lowest").eqNullSafe(F.col("highest"))).select(*left)
+    """Left values that do not determine the right values. Copies fall away first, so a hot value is no burden."""
+    pairs = df.select(*left, *right).distinct().groupBy(*left).agg(F.count("*").alias("variants"))
+    return pairs.filter("variants > 1").select(*left)
 
 
 def column_keys(df: DataFrame, columns: list[str], width: int = 2) -> DataFrame:

@@ -10,13 +10,15 @@ from rowmill.plans.registry import query
 from rowmill.sources.scan import latest
 
 
-def category_revenue(orders, items, products, category, start):
+def category_revenue(orders, lines, products, category, start):
     """Orders, units and net revenue per category for finished or open orders since ``start``."""
     recent = orders.filter(F.col("o_orderstatus").isin("F", "O") & (F.col("o_orderdate") >= start))
-    lines = (items.join(recent.select(F.col("o_orderkey").alias("order_id")), "order_id")
-             .join(products.select(F.col("p_partkey").alias("product_id"), F.col(category).alias("category")), "product_id"))
+    sold = (lines.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_quantity", "l_extendedprice", "l_discount")
+            .join(recent.select("o_orderkey"), "o_orderkey")
+            .join(products.select("p_partkey", F.col(category).alias("category")), "p_partkey"))
+    net = money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     # One row per category and order first: a hot category is split by order, and no DISTINCT expansion is needed.
-    per_order = lines.groupBy("category", "order_id").agg(F.sum("quantity").alias("units"), F.sum(F.col("gross") - F.col("discount")).alias("net"))
+    per_order = sold.groupBy("category", "o_orderkey").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("units"), F.sum(net).alias("net"))
     return per_order.groupBy("category").agg(F.count("*").alias("order_count"), F.sum("units").alias("units_sold"),
                                              F.sum("net").cast("double").alias("revenue")).orderBy(F.desc("revenue"))
 
@@ -26,7 +28,7 @@ def category_revenue(orders, items, products, category, start):
       sum(gross - discount)::DOUBLE AS revenue FROM orders JOIN items ON o_orderkey = order_id JOIN part ON product_id = p_partkey
     WHERE o_orderstatus IN ('F', 'O') AND o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 30 DAY GROUP BY 1""")
 def revenue_by_category(t):
-    return category_revenue(t.orders, items(t), t.part, "p_brand", latest(t.orders, "o_orderdate", "30 DAYS"))
+    return category_revenue(t.orders, t.lineitem, t.part, "p_brand", latest(t.orders, "o_orderdate", "30 DAYS"))
 
 
 @query("ap_02_lifetime_value", "AP-02", sql="""

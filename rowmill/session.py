@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,3 +55,16 @@ def plan_bytes(df: DataFrame) -> int | None:
         return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except AttributeError:
         return None
+
+
+def shuffles(df: DataFrame) -> bool:
+    """True when computing ``df`` moves rows between tasks, so that computing it twice is worth avoiding."""
+    try:
+        return re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().executedPlan().toString()) is not None
+    except AttributeError:
+        return True
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a plain scan, else its rows written once: what follows may read it several times."""
+    return materialize(df) if shuffles(df) else df

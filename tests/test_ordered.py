@@ -32,7 +32,7 @@ PARTS = [["g"], []]
 @pytest.mark.parametrize("part", PARTS)
 @pytest.mark.parametrize("order", [["v", "id"], ["-v", "id"]])
 def test_running_and_numbers(rows, small_tasks, part, order):
-    assert ordered.slices_needed(rows, part) > 2
+    assert ordered.plan_slices(rows, part)[1] > 2
     w = Window.partitionBy(*part).orderBy(*ordered.sort_keys(order))
     wr = w.rowsBetween(Window.unboundedPreceding, 0)
     same(ordered.running_sums(rows, part, order, {"s": F.col("x"), "sv": F.col("v")}),

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowmill.operators import allocation
 
@@ -97,7 +98,7 @@ def test_settlement(spark, big, seed, request):
 def test_transfer_example(spark):
     accounts = spark.createDataFrame([(1, 10000, 0), (2, 5000, 0), (3, 8000, 0)], "account long, balance long, floor long")
     legs = allocation.transfer_legs(spark.createDataFrame([(1, 1, 2, 1500)], "id long, a long, b long, m long"), "a", "b", "m")
-    posted = allocation.post_unchecked(legs, accounts, ["id", "type"], "balance", accounts.floor)
+    posted = allocation.post_unchecked(legs, accounts, ["id", "type"], "balance", F.col("floor"))
     assert sorted((r.account, r.balance_after, r.overdrawn) for r in posted.collect()) == [(1, 8500, False), (2, 6500, False)]
 
 
