@@ -195,7 +195,7 @@ def height_histogram(t):
 def first_last_span(t):
     d = "o_orderdate"
     return t.orders.groupBy("o_custkey").agg(F.min(d).alias("first_order"), F.max(d).alias("last_order"), F.count("*").alias("orders"),
-                                             F.datediff(F.max(d), F.min(d)).alias("days"))
+                                             F.datediff(F.max(d), F.min(d)).cast("bigint").alias("days"))
 
 
 @query("ag_24_table_counts", "AG-24", sql="""

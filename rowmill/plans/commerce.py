@@ -40,7 +40,7 @@ def lifetime_value(t):
     d = "o_orderdate"
     totals = t.orders.filter(~F.col("o_orderstatus").isin("P")).groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count("*").alias("total_orders"), money_sum("o_totalprice").alias("lifetime_value"), money_avg("o_totalprice").alias("avg_order"),
-        F.min(d).alias("first_order"), F.max(d).alias("last_order"), F.datediff(F.max(d), F.min(d)).alias("age_days"))
+        F.min(d).alias("first_order"), F.max(d).alias("last_order"), F.datediff(F.max(d), F.min(d)).cast("bigint").alias("age_days"))
     named = totals.join(t.customer.select("c_custkey", "c_name"), "c_custkey")
     return paging.top_k(named, ["-lifetime_value", "c_custkey"], 100)
 

@@ -83,7 +83,7 @@ def fact_table(t):
         F.count("*").alias("n"), F.sum(money("l_extendedprice")).cast("double").alias("revenue"))
 
 
-@query("nz_07_lossless", "NZ-07", sql="SELECT 0 AS mismatches, count(*) AS n FROM lineitem")
+@query("nz_07_lossless", "NZ-07", sql="SELECT 0::BIGINT AS mismatches, count(*) AS n FROM lineitem")
 def lossless(t):
     wide = sold(t)
     lookup, lines = normalize.decompose(wide, ["p_name", "p_brand"], "product_id")

@@ -16,12 +16,12 @@ from rowmill.sources.scan import latest
 def text(t):
     n = F.col("p_name")
     return t.part.select(
-        "p_partkey", F.upper(n).alias("up"), F.lower("p_brand").alias("low"), F.char_length(n).alias("chars"),
+        "p_partkey", F.upper(n).alias("up"), F.lower("p_brand").alias("low"), F.char_length(n).cast("bigint").alias("chars"),
         F.substring(n, 1, 5).alias("head"), F.left(n, F.lit(3)).alias("left3"),
         F.concat(n, F.lit(" ["), F.col("p_type"), F.lit("]")).alias("joined"),
         F.concat(F.nullif(n, F.lit("red ring")), F.lit("!")).alias("null_joined"),
         F.trim(F.concat(F.lit("  "), n, F.lit(" "))).alias("trimmed"), F.replace(n, F.lit(" "), F.lit("_")).alias("replaced"),
-        F.locate("ring", n).alias("pos"), F.lpad(F.col("p_partkey").cast("string"), 3, "0").alias("padded"),
+        F.locate("ring", n).cast("bigint").alias("pos"), F.lpad(F.col("p_partkey").cast("string"), 3, "0").alias("padded"),
         F.expr("repeat('ab', p_size % 4)").alias("repeated"))
 
 
@@ -29,7 +29,7 @@ def text(t):
     SELECT p_partkey, strlen(s) AS bytes, length(s) AS chars FROM (SELECT p_partkey, replace(p_name, 'e', 'é') AS s FROM part)""")
 def byte_length(t):
     s = F.replace("p_name", F.lit("e"), F.lit("é"))
-    return t.part.select("p_partkey", F.octet_length(s).alias("bytes"), F.char_length(s).alias("chars"))
+    return t.part.select("p_partkey", F.octet_length(s).cast("bigint").alias("bytes"), F.char_length(s).cast("bigint").alias("chars"))
 
 
 @query("fn_11_pick", "FN-11", sql="""
@@ -51,7 +51,7 @@ def casts(t):
 @query("fn_13_clock", "FN-13", sql="""
     SELECT o_orderkey, date_diff('day', o_orderdate, (SELECT max(o_orderdate) FROM orders)) AS age_days FROM orders""")
 def clock(t):
-    return t.orders.select("o_orderkey", F.datediff(latest(t.orders, "o_orderdate"), "o_orderdate").alias("age_days"))
+    return t.orders.select("o_orderkey", F.datediff(latest(t.orders, "o_orderdate"), "o_orderdate").cast("bigint").alias("age_days"))
 
 
 @query("fn_dates", "FN-14", "FN-15", "FN-16", "FN-17", "FN-18", "FN-19", sql="""
@@ -150,8 +150,9 @@ def enum_ordinal(t):
     SELECT p_partkey, length(rpad(p_name, 20, ' ')) AS stored, length(rtrim(rpad(p_name, 20, ' '))) AS as_read, length(p_name) AS plain FROM part""")
 def char_padding(t):
     stored = scalar.pad_char(F.col("p_name"), 20)
-    return t.part.select("p_partkey", F.char_length(stored).alias("stored"), F.char_length(scalar.read_char(stored)).alias("as_read"),
-                         F.char_length("p_name").alias("plain"))
+    return t.part.select("p_partkey", F.char_length(stored).cast("bigint").alias("stored"),
+                         F.char_length(scalar.read_char(stored)).cast("bigint").alias("as_read"),
+                         F.char_length("p_name").cast("bigint").alias("plain"))
 
 
 TYPES = ["view", "click", "signup", "purchase", "error"]
@@ -193,7 +194,7 @@ def salary_grade_sql(t):
 @query("udf_02_days_employed", "UDF-02", sql="""
     SELECT o_orderkey, date_diff('day', o_orderdate::DATE, (SELECT max(o_orderdate) FROM orders)::DATE) AS days FROM orders""")
 def days_employed(t):
-    return t.orders.select("o_orderkey", udf.days_employed(F.to_date("o_orderdate"), F.to_date(latest(t.orders, "o_orderdate"))).alias("days"))
+    return t.orders.select("o_orderkey", udf.days_employed(F.to_date("o_orderdate"), F.to_date(latest(t.orders, "o_orderdate"))).cast("bigint").alias("days"))
 
 
 PLAN_SQL = "['free', 'starter', 'pro', 'enterprise', 'legacy'][1 + {} % 5]"

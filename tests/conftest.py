@@ -12,6 +12,7 @@ from rowmill.session import local_session  # noqa: E402
 def spark():
     session = local_session(8, "rowmill-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 
