@@ -9,17 +9,36 @@ from rowmill.operators.ordered import top_rows
 from rowmill.session import materialize
 
 
+PAIRS_PER_LINE = 10  # up to this many pairs per line, making all of them is cheaper than the bounds below
+
+
 def frequent_pairs(lines: DataFrame, basket: str, item: str, min_count: int, top: int) -> DataFrame:
     """The ``top`` unordered item pairs by number of line pairs in the same basket, at least ``min_count``.
 
-    Repeated lines are first counted, so a basket holds each item once. Items
-    that cannot reach the result are dropped before any pair is made: no pair
-    of an item exceeds the sum, over its baskets, of its count times the
-    basket's highest count, and the top pair of each basket gives ``top``
-    counts that the result must reach. Both bounds are exact.
+    Repeated lines are first counted, so a basket holds each item once. If big
+    baskets would make too many pairs, items that cannot reach the result are
+    dropped before any pair is made.
     """
     lines = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
     counts = materialize(lines.groupBy("basket", "item").agg(F.count("*").alias("m")))
+    sizes = counts.groupBy("basket").agg(F.count("*").cast("double").alias("k"))
+    pairs, rows = sizes.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2), F.sum("k")).first()
+    if pairs is not None and pairs > PAIRS_PER_LINE * rows:
+        counts = _promising(counts, min_count, top)
+    a = counts.select("basket", F.col("item").alias("item_a"), F.col("m").alias("m_a"))
+    b = counts.select("basket", F.col("item").alias("item_b"), F.col("m").alias("m_b"))
+    found = a.join(b, "basket").filter("item_a < item_b").groupBy("item_a", "item_b").agg(
+        F.sum(F.col("m_a") * F.col("m_b")).alias("together"))
+    return found.filter(F.col("together") >= min_count).orderBy(F.desc("together"), "item_a", "item_b").limit(top)
+
+
+def _promising(counts: DataFrame, min_count: int, top: int) -> DataFrame:
+    """Lines of items that can still be in a result pair, by two exact bounds.
+
+    No pair of an item exceeds the sum, over its baskets, of its count times
+    the basket's highest count. And the highest pair of each basket, added up,
+    gives pair counts of which ``top`` must be reached.
+    """
     most = counts.groupBy("basket").agg(F.max("m").alias("most"), F.count("*").alias("items")).filter("items > 1")
     best = top_rows(counts, ["basket"], ["-m", "item"], 2).groupBy("basket").agg(
         F.min("item").alias("a"), F.max("item").alias("b"), F.min("m").alias("low"), F.max("m").alias("high"), F.count("*").alias("k"))
@@ -28,9 +47,4 @@ def frequent_pairs(lines: DataFrame, basket: str, item: str, min_count: int, top
     needed = max(min_count, lowest) if reached == top else min_count
     bounded = skew_join(counts, most.drop("items"), ["basket"])
     useful = bounded.groupBy("item").agg(F.sum(F.col("m") * F.col("most")).alias("bound")).filter(F.col("bound") >= needed)
-    kept = materialize(skew_join(bounded, useful.select("item"), ["item"], "left_semi").drop("most"))
-    a = kept.select("basket", F.col("item").alias("item_a"), F.col("m").alias("m_a"))
-    b = kept.select("basket", F.col("item").alias("item_b"), F.col("m").alias("m_b"))
-    pairs = a.join(b, "basket").filter("item_a < item_b").groupBy("item_a", "item_b").agg(
-        F.sum(F.col("m_a") * F.col("m_b")).alias("together"))
-    return pairs.filter(F.col("together") >= min_count).orderBy(F.desc("together"), "item_a", "item_b").limit(top)
+    return materialize(skew_join(bounded, useful.select("item"), ["item"], "left_semi").drop("most"))

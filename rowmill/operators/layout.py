@@ -56,6 +56,11 @@ def write_partitioned(df: DataFrame, path: str, label: str, compact: bool = Fals
     df.write.partitionBy(label).mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, n: int) -> None:
+    """Store a table hashed by ``key`` into n buckets; joins and groups on the key then read it without a shuffle."""
+    df.write.bucketBy(n, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
+
+
 def read_years(spark: SparkSession, path: str, ts: str, label: str, first: int, last: int, lo, hi) -> DataFrame:
     """Rows with lo <= ts < hi from a table written with year_bucket(first, last).
 

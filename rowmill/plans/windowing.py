@@ -7,7 +7,7 @@ the calendar bounds.
 
 from pyspark.sql import Window, functions as F
 
-from rowmill.functions.money import money, money_avg, money_sum, pct, ratio
+from rowmill.functions.money import money, money_sum, pct, ratio
 from rowmill.operators import islands, ordered
 from rowmill.operators.joins import attach
 from rowmill.plans.registry import query

@@ -224,6 +224,19 @@ def test_partition_labels(spark, dated, tmp_path):
     assert (kept.count(), old.count()) == (3, 2)
 
 
+def test_buckets_join_without_shuffle(spark, tmp_path):
+    for name in ("a", "b"):
+        layout.write_bucketed(spark.range(1000).withColumn(name, F.col("id") * 2), f"bucketed_{name}", str(tmp_path / name), "id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = spark.table("bucketed_a").join(spark.table("bucketed_b"), "id")
+        assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString() and both.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_a")
+        spark.sql("DROP TABLE bucketed_b")
+
+
 def test_list_partition_rejects(spark):
     df = literal_rows(spark, "id int, c string", [(1, "US"), (2, "UK"), (3, "JP"), (4, "AU"), (5, "ZZ"), (6, None)])
     groups = {"americas": ["US", "CA", "MX", "BR"], "europe": ["UK", "DE", "FR", "IT"], "apac": ["AU", "JP", "SG", "IN"]}
@@ -278,7 +291,9 @@ def test_filters(spark):
     assert rows(whole.select("id")) == [(1,), (2,), (3,)]
 
 
-def test_frequent_pairs(spark):
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_frequent_pairs(spark, monkeypatch, limit):
+    monkeypatch.setattr(baskets, "PAIRS_PER_LINE", limit)
     rng = random.Random(2)
     lines = [(b, rng.randint(1, 9)) for b in range(60) for _ in range(rng.randint(1, 4))]
     lines += [(1000, rng.randint(1, 30)) for _ in range(150)]  # one basket holds about half of the lines

@@ -72,8 +72,7 @@ def replay_transfers(balances, transfers, floor):
     return held, out
 
 
-@pytest.mark.parametrize("big", [False, True])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed,big", [(1, False), (2, False), (1, True)])
 def test_settlement(spark, big, seed, request):
     if big:
         request.getfixturevalue("small_tasks")
@@ -81,7 +80,7 @@ def test_settlement(spark, big, seed, request):
     balances = {a: rng.randint(0, 300) for a in range(12)}
     # Account 0 is a side of half of the transfers; account 99 does not exist.
     pick = lambda: 0 if rng.random() < 0.3 else rng.choice([*range(12), 99])
-    transfers = [(pick(), pick(), rng.randint(1, 200)) for _ in range(250)]
+    transfers = [(pick(), pick(), rng.randint(1, 200)) for _ in range(160)]
     held, want = replay_transfers(balances, transfers, -50)
     df = spark.createDataFrame([(i, a, b, m) for i, (a, b, m) in enumerate(transfers)], "id long, a long, b long, m long")
     accounts = spark.createDataFrame([(a, v, -50) for a, v in balances.items()], "account long, balance long, floor long")
