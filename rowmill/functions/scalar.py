@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 # Date-format letters and the day number of 1970-01-01.
@@ -9,6 +11,13 @@ DATE_LETTERS = {"Y": "yyyy", "m": "MM", "d": "dd", "H": "HH", "i": "mm", "s": "s
 EPOCH_DAY = 719528
 
 
+def constant(value) -> Column:
+    """A literal; a datetime without zone stays zone-free instead of becoming an instant in the session zone."""
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def pick(n: Column, *choices: str) -> Column:
     """The n-th choice (from 1), NULL when n is out of range."""
     return F.when(n.between(1, len(choices)), F.element_at(F.array(*map(F.lit, choices)), n.cast("int")))
@@ -59,6 +68,12 @@ def epoch_seconds(ts: Column) -> Column:
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
+def start_of(unit: str, ts: Column) -> Column:
+    """Start of the minute or hour of a zone-free timestamp from 1970 on, whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add(unit, F.timestamp_diff(unit, epoch, ts), epoch)
+
+
 def enum_ordinal(c: Column, domain: list[str]) -> Column:
     """Position of a value in its declared domain, from 1; NULL for NULL."""
     return F.array_position(F.array(*map(F.lit, domain)), c)

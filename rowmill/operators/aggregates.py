@@ -53,9 +53,11 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def prefix_selectivity(df: DataFrame, column: str, lengths: Iterable[int]) -> DataFrame:
     """Distinct share of the first n characters for each n, and of the full value, as one row."""
-    c = F.col(column)
-    parts = [(F.countDistinct(F.left(c, F.lit(n))) / F.count("*")).alias(f"sel_{n}") for n in lengths]
-    return df.agg(*parts, (F.countDistinct(c) / F.count("*")).alias("sel_full"))
+    # Copies fall away first; the distinct counts then expand the distinct values only.
+    c, rows = F.col(column), F.sum("_n")
+    values = df.groupBy(column).agg(F.count("*").alias("_n"))
+    parts = [(F.countDistinct(F.left(c, F.lit(n))) / rows).alias(f"sel_{n}") for n in lengths]
+    return values.agg(*parts, (F.count(c) / rows).alias("sel_full"))
 
 
 def cardinality(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:

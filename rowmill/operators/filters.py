@@ -6,20 +6,22 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowmill.functions.scalar import constant
+
 
 def year_range(column: str, year: int) -> Column:
     """Year test as a half-open range on the bare column, which Parquet scans can use to skip row groups."""
-    return (F.col(column) >= F.lit(dt.datetime(year, 1, 1))) & (F.col(column) < F.lit(dt.datetime(year + 1, 1, 1)))
+    return (F.col(column) >= constant(dt.datetime(year, 1, 1))) & (F.col(column) < constant(dt.datetime(year + 1, 1, 1)))
 
 
 def day_range(column: str, day: dt.date) -> Column:
     start = dt.datetime(day.year, day.month, day.day)
-    return (F.col(column) >= F.lit(start)) & (F.col(column) < F.lit(start + dt.timedelta(days=1)))
+    return (F.col(column) >= constant(start)) & (F.col(column) < constant(start + dt.timedelta(days=1)))
 
 
 def since(column: str, as_of: Column | dt.datetime, interval: str) -> Column:
     """``column`` within ``interval`` (such as '30 DAYS') before ``as_of``."""
-    start = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    start = as_of if isinstance(as_of, Column) else constant(as_of)
     return F.col(column) >= start - F.expr(f"INTERVAL {interval}")
 
 

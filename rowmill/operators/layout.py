@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rowmill.functions.scalar import constant
 from rowmill.operators.joins import skew_join
 from rowmill.session import materialize
 from rowmill.sources.sink import truncate
@@ -16,7 +17,7 @@ def range_bucket(c: Column, bounds: list[tuple[str, object]], rest: str | None =
     """
     out = F.when(c.isNull(), bounds[0][0])
     for label, upper in bounds:
-        out = out.when(c < F.lit(upper), label)
+        out = out.when(c < constant(upper), label)
     return out.otherwise(F.lit(rest))
 
 
@@ -75,7 +76,7 @@ def read_years(spark: SparkSession, path: str, ts: str, label: str, first: int,
     if top > last:
         labels.append("p_future")
     return (spark.read.parquet(path).filter(F.col(label).isin(*sorted(set(labels))))
-            .filter((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))))
+            .filter((F.col(ts) >= constant(lo)) & (F.col(ts) < constant(hi))))
 
 
 def split_catch_all(spark: SparkSession, path: str, label: str, rest: str, relabel: Column) -> None:
@@ -87,7 +88,7 @@ def split_catch_all(spark: SparkSession, path: str, label: str, rest: str, relab
 
 def split_archive(df: DataFrame, ts: str, cutoff) -> tuple[DataFrame, DataFrame]:
     """(rows to keep, rows older than the cutoff)."""
-    old = F.col(ts) < F.lit(cutoff)
+    old = F.col(ts) < constant(cutoff)
     return df.filter(~F.coalesce(old, F.lit(False))), df.filter(old)
 
 

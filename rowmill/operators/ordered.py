@@ -23,6 +23,7 @@ from rowmill.operators.joins import attach
 from rowmill.session import materialize, settled
 
 SLICE = "_slice"
+MAX_SLICES = 20_000  # values per slice meet in one task; beyond this slices grow instead, and their sorts spill
 
 
 def names(order: list[str]) -> list[str]:
@@ -43,7 +44,9 @@ def plan_slices(df: DataFrame, part: list[str]) -> tuple[DataFrame, int]:
         return df, 0
     df = settled(df)
     total, largest = joins.group_sizes(df, part)
-    return df, 0 if largest <= joins.TASK_ROWS else max(2, math.ceil(2 * total / joins.TASK_ROWS))
+    if largest <= joins.TASK_ROWS:
+        return df, 0
+    return df, min(MAX_SLICES, max(2, math.ceil(2 * total / joins.TASK_ROWS)))
 
 
 def _sliced(df: DataFrame, part: list[str], order: list[str], n: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money
+from rowmill.functions.scalar import start_of
 from rowmill.operators import mutate
 from rowmill.plans.registry import query
 from rowmill.sources.scan import latest
@@ -68,7 +69,7 @@ def upsert(t):
     SELECT user_id, minute, sum(n)::BIGINT AS n FROM (SELECT user_id, date_trunc('hour', ts) AS minute, count(*) AS n FROM events
       WHERE event_id % 2 = 0 GROUP BY 1, 2 UNION ALL SELECT user_id, date_trunc('hour', ts), 1 FROM events WHERE event_id % 2 = 1) GROUP BY 1, 2""")
 def upsert_add(t):
-    e = t.events.withColumn("minute", F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz"))
+    e = t.events.withColumn("minute", start_of("HOUR", F.col("ts")))
     counts = e.filter("event_id % 2 = 0").groupBy("user_id", "minute").agg(F.count("*").alias("n"))
     return mutate.upsert_add(counts, e.filter("event_id % 2 = 1").withColumn("n", F.lit(1).cast("bigint")), ["user_id", "minute"], "n")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money, money_avg, money_sum
+from rowmill.functions.scalar import start_of
 from rowmill.operators import audit, filters, mutate, ordered
 from rowmill.plans.bindings import EMP, emp
 from rowmill.plans.registry import query
@@ -10,7 +11,7 @@ from rowmill.sources.scan import latest
 
 
 def minute_counts(events):
-    return events.groupBy("user_id", F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias("window_start")).agg(F.count("*").alias("requests"))
+    return events.groupBy("user_id", start_of("MINUTE", F.col("ts")).alias("window_start")).agg(F.count("*").alias("requests"))
 
 
 @query("ap_29_rate_limit", "AP-29", sql="""
