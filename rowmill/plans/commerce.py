@@ -116,13 +116,16 @@ def bought_together(t):
 
 
 def turnover(stock, sold):
-    """Days of stock left at the 30-day pace; NULL where nothing was sold."""
+    """Days of stock left at the 30-day pace, to one digit, halves up; NULL where nothing was sold.
+
+    Whole-number arithmetic: the quotient often lies on a half, where doubles would decide by chance.
+    """
     out = stock.join(sold, "product_id", "left")
-    days = F.round(F.col("stock") / F.nullif(F.col("units") / 30, F.lit(0.0)), 1)
-    return out.select("product_id", "product", "units", "stock", days.alias("days_left"))
+    tenths = F.expr("(stock * 600 + units) div nullif(2 * units, 0)")
+    return out.select("product_id", "product", "units", "stock", (tenths / 10).alias("days_left"))
 
 
-TURNOVER = "SELECT product_id, product, units::BIGINT AS units, stock, round(stock / nullif(units / 30, 0), 1) AS days_left FROM inventory LEFT JOIN s ON k = product_id"
+TURNOVER = "SELECT product_id, product, units::BIGINT AS units, stock, ((stock * 600 + units::BIGINT) // nullif(2 * units::BIGINT, 0)) / 10 AS days_left FROM inventory LEFT JOIN s ON k = product_id"
 
 
 @query("ap_09_turnover_all_time", "AP-09", sql=f"""
