@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from rowmill.llm import sharding  # noqa: F401
+from rowmill.llm import bpe, sharding, token_counts  # noqa: F401
 from rowmill.llm.common import QUERIES, SQL  # noqa: F401
