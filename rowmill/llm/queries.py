@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from rowmill.llm import bpe, decontamination, near_dedup, quality_classifier, quality_rules, sharding, token_counts, toxicity  # noqa: F401
+from rowmill.llm import bpe, chat, decontamination, html_extraction, near_dedup, quality_classifier, quality_rules, sharding, token_counts, toxicity  # noqa: F401
 from rowmill.llm.common import QUERIES, SQL  # noqa: F401
