@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from rowmill.llm.common import query, table
+from rowmill.llm.common import query, table, with_text
 from rowmill.llm.units import Memo, spaced_words, units
 
 NONE = 1 << 62
@@ -141,7 +141,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: Seq
             made = [pa.array(v, types.get(c, pa.string())) for c, v in columns.items()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[f.name for f in fields])
 
-    return df.select(*[df[c] for c in keep], df[text].cast("string")).mapInArrow(encoded, T.StructType(fields))
+    return with_text(df, keep, text).mapInArrow(encoded, T.StructType(fields))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str = "bytes") -> DataFrame:

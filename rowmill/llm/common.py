@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, each lengthened until it differs from all columns (as Spark compares names)."""
+    taken = {c.lower() for c in columns}
+    made = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        made.append(name)
+    return made
+
+
+def with_text(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
+    """The columns ``keep``, and after them the text under a name of its own."""
+    (name,) = fresh(keep, "text")
+    return df.select(*[df[c] for c in keep], df[text].cast("string").alias(name))
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(divisor).cast("bigint")).cast("int")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.llm.common import query, table
+from rowmill.llm.common import query, table, with_text
 from rowmill.llm.html_blocks import Block, blocks
 from rowmill.llm.units import Memo
 
@@ -283,7 +283,7 @@ def extract(pages: DataFrame, model: Labeller | None, html: str = "html", keep:
                 made = [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], names=[f.name for f in fields])
 
-    return pages.select(*[pages[c] for c in keep], pages[html].cast("string")).mapInArrow(extracted, T.StructType(fields))
+    return with_text(pages, keep, html).mapInArrow(extracted, T.StructType(fields))
 
 
 @query("op1_html_extraction")

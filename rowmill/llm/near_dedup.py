@@ -148,16 +148,16 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", radius: int
     """
     hashed = materialize(fingerprints(df, key, text))
     groups = materialize(grouped(hashed, key, radius))
-    unclear = materialize(hashed.groupBy(key).count().where(F.col(key).isNull() | (F.col("count") > 1)).select(F.col(key).alias("_k")))
-    chosen = groups.select(F.col("component_id").alias("_k")).where("_k is not null").distinct().join(unclear, "_k", "left_anti")
-    kept = df.join(chosen, df[key] == F.col("_k"), "left_semi")
+    unclear = materialize(hashed.groupBy(F.col(key).alias("k")).count().where("k is null or count > 1").select("k"))
+    chosen = groups.select(F.col("component_id").alias("k")).where("k is not null").distinct().join(unclear, "k", "left_anti")
+    kept = df.join(chosen, df[key] == chosen["k"], "left_semi")
     if not unclear.head(1):
         return kept
-    again = df.join(unclear, df[key].eqNullSafe(F.col("_k")), "left_semi")
-    rows = again.select(F.struct(*again.columns).alias("_row"), again[key].alias("_k"), again[text].cast("string").alias("_text"))
-    rows = rows.withColumn("fp", _fingerprint_column()(F.col("_text"))).join(groups, "fp")
-    rows = rows.where(F.col("_k").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.first("_row").alias("_row"))
-    return kept.unionByName(rows.select("_row.*"))
+    again = df.join(unclear, df[key].eqNullSafe(unclear["k"]), "left_semi")
+    rows = again.select(F.struct(*[again[c] for c in again.columns]).alias("row"), again[key].alias("k"), again[text].cast("string").alias("text"))
+    rows = rows.select("row", "k", _fingerprint_column()(F.col("text")).alias("fp")).join(groups, "fp")
+    rows = rows.where(F.col("k").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.first("row").alias("row"))
+    return kept.unionByName(rows.select("row.*"))
 
 
 def _fingerprint_column():

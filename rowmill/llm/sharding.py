@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowmill.llm.common import query, table
+from rowmill.llm.common import fresh, query, table
 
 SHARDS = 8
 #: Slices of each shard for numbering; a slice holds 1 / (shards * SLICES) of the distinct rows.
@@ -49,17 +49,18 @@ def numbered(df: DataFrame, key: str, shard: str, slot: str = "slot") -> DataFra
     the key's hash: a running count inside a slice, plus the rows of the slices before it (at most shards * SLICES sums, broadcast).
     """
     columns = df.columns
+    at, n, rows, start, inside, first, into, slot_at = fresh(columns, "_slice", "_n", "_rows", "_start", "_inside", "_shard", slot, "_at")
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
     slices = F.conv(F.substring(F.md5(text.cast("binary")), 1, 3), 16, 10).cast("int")
-    counted = df.withColumn("_slice", slices).groupBy("_slice", *columns).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counted.groupBy(shard, "_slice").agg(F.sum("_n").alias("_rows"))
-    starts = starts.select(F.col(shard).alias("_shard"), F.col("_slice").alias("_at"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(shard, "_slice").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    placed = placed.join(F.broadcast(starts), (F.col(shard) == F.col("_shard")) & (F.col("_slice") == F.col("_at")))
-    first = F.col("_start") + F.col("_inside")
-    return placed.select(*columns, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias(slot))
+    counted = df.withColumn(at, slices).groupBy(at, *columns).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(shard).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counted.groupBy(shard, at).agg(F.sum(n).alias(rows))
+    starts = starts.select(F.col(shard).alias(first), F.col(at).alias(slot_at), F.coalesce(F.sum(rows).over(before), F.lit(0)).alias(start))
+    own = Window.partitionBy(shard, at).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn(inside, F.coalesce(F.sum(n).over(own), F.lit(0)))
+    placed = placed.join(F.broadcast(starts), (F.col(shard) == F.col(first)) & (F.col(at) == F.col(slot_at)))
+    number = F.col(start) + F.col(inside)
+    return placed.select(*columns, F.explode(F.sequence(number, number + F.col(n) - 1)).alias(into))
 
 
 def _sql_cost(shard: int) -> str:

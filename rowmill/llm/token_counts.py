@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from rowmill.llm.common import query, table
+from rowmill.llm.common import query, table, with_text
 from rowmill.llm.units import spaced_words, units
 
 #: Texts over this many characters are huge.
@@ -138,7 +138,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", keep: Sequence[st
             made = [pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[f.name for f in fields])
 
-    return df.select(*[df[c] for c in keep], df[text].cast("string")).mapInArrow(counted, T.StructType(fields))
+    return with_text(df, keep, text).mapInArrow(counted, T.StructType(fields))
 
 
 @query("op9_token_counts")
