@@ -11,6 +11,18 @@ from rowmill.operators.ordered import number_rows, running_sums, totals
 
 def joined_text(df: DataFrame, keys: list[str], column: str, order: list[str], sep: str = ", ",
                 per_line: int = 1000, name: str = "listing") -> DataFrame:
+    """Ordered string aggregation: one row per group.
+
+    The text is put together from lines of ``per_line`` values, so only the last step meets a whole group, as its joined
+    text. ``order`` must be unique within the group.
+    """
+    lines = joined_lines(df, keys, column, order, sep, per_line, name)
+    parts = F.sort_array(F.collect_list(F.struct("line", F.col(name).alias("v"))))
+    return lines.groupBy(*keys).agg(F.array_join(parts["v"], sep).alias(name))
+
+
+def joined_lines(df: DataFrame, keys: list[str], column: str, order: list[str], sep: str = ", ",
+                 per_line: int = 1000, name: str = "listing") -> DataFrame:
     """Ordered string aggregation, at most ``per_line`` values per output row.
 
     A group that fits one line gives one row with line 1. A larger group goes

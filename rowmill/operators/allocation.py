@@ -10,8 +10,8 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from rowmill.operators import joins
 from rowmill.operators.joins import skew_join
 from rowmill.operators.ordered import names, plan_slices, running_sums, sort_keys
 from rowmill.session import materialize
@@ -20,9 +20,10 @@ from rowmill.session import materialize
 def allocate(requests: DataFrame, stock: DataFrame, product: str, order: list[str], qty: str, level: str = "stock") -> DataFrame:
     """Add ``accepted``: a request is served if the stock left is at least its quantity; refused ones use nothing.
 
-    ``stock`` has one row per product. Quantities must be positive. Requests
-    for an unknown product are refused.
+    ``stock`` has one row per product. Requests for an unknown product, and
+    those whose quantity is NULL, zero or negative, are refused.
     """
+    asked, requests = requests, requests.filter(F.col(qty) > 0)
     rows = skew_join(requests, stock.select(product, F.col(level).alias("_left")), [product], "left")
     rows = rows.withColumn("_left", F.coalesce(F.col("_left"), F.lit(0)).cast("bigint"))
     rows, slices = plan_slices(rows, [product])
@@ -30,7 +31,8 @@ def allocate(requests: DataFrame, stock: DataFrame, product: str, order: list[st
         out = _allocate_by_rounds(rows, product, order, qty)
     else:
         out = _allocate_in_tasks(rows, product, order, qty)
-    return out.select(*requests.columns, "accepted")
+    refused = asked.filter(~F.coalesce(F.col(qty) > 0, F.lit(False))).withColumn("accepted", F.lit(False))
+    return out.select(*asked.columns, "accepted").unionByName(refused)
 
 
 def _allocate_in_tasks(rows: DataFrame, product: str, order: list[str], qty: str) -> DataFrame:
@@ -48,7 +50,7 @@ def _allocate_in_tasks(rows: DataFrame, product: str, order: list[str], qty: str
                 accepted.append(take)
             yield pdf.assign(accepted=pd.Series(accepted, index=pdf.index, dtype=bool))
 
-    schema = rows.schema.add("accepted", "boolean")
+    schema = StructType([*rows.schema.fields, StructField("accepted", BooleanType())])
     return rows.repartition(product).sortWithinPartitions(product, *sort_keys(order)).mapInPandas(serve, schema)
 
 
@@ -125,21 +127,24 @@ def post_unchecked(legs: DataFrame, accounts: DataFrame, order: list[str], balan
     return rows.withColumn("balance_after", after).withColumn("overdrawn", after < floor).drop("_moved")
 
 
-def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], balance: str, floor: str) -> DataFrame:
+def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], balance: str, floor: str, active: str | None = None) -> DataFrame:
     """Accept or refuse each request, a set of legs that stand or fall together, in order.
 
     A request is accepted if each account it debits stays at or above
     ``floor``, given the accepted earlier requests. Requests that touch an
-    unknown account are refused. ``ident`` names the request and ends ``order``.
+    unknown account are refused, and so are those that touch an account whose
+    column ``active`` is not true. ``ident`` names the request and ends ``order``.
 
     Each round brackets the balance before every open request between the
     outcomes where all, or none, of the open earlier debits happen (and the
     reverse for credits). Requests that pass even at the lower end are
     accepted, those that fail even at the upper end are refused; the rest stay
     open. The first open request has an exact balance, so every round makes
-    progress, and only open legs are carried on. What stays open after the
-    first round is replayed in one task once it has at most TASK_ROWS legs.
+    progress, and only open legs are carried on: their tables get smaller, and
+    no task ever takes all of them.
     """
+    if active is not None:
+        balances = balances.filter(F.col(active))
     keys = names(order)
     net = legs.groupBy(*keys, "account").agg(F.sum("delta").alias("delta"), F.sum(F.least("delta", F.lit(0))).alias("_debit"))
     net = skew_join(net, balances.select("account", F.col(balance).alias("_base"), F.col(floor).alias("_floor")), ["account"], "left")
@@ -147,7 +152,6 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
     unknown = net.filter(F.col("_base").isNull()).select(ident).distinct()
     done = [unknown.withColumn("accepted", F.lit(False))]
     rows = net.join(unknown, ident, "left_anti").withColumn("_sure", F.lit(False))
-    first = True
     while True:
         run = running_sums(rows, ["account"], order, {
             "_known": F.when(F.col("_sure"), F.col("delta")).otherwise(0),
@@ -157,10 +161,6 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
             "_base": F.col("_base") + F.col("_known"),
             "_down": F.col("_down") - F.least("delta", F.lit(0)), "_up": F.col("_up") - F.greatest("delta", F.lit(0))})
         still = materialize(still.drop("_known", "_sure"))
-        if not first and still.count() <= joins.TASK_ROWS:
-            done.append(_replay(still, ident, order))
-            break
-        first = False
         safe = (F.col("_debit") >= 0) | (F.col("_base") + F.col("_down") + F.col("_debit") >= F.col("_floor"))
         hopeless = (F.col("_debit") < 0) & (F.col("_base") + F.col("_up") + F.col("_debit") < F.col("_floor"))
         verdict = materialize(still.groupBy(ident).agg(F.bool_and(safe).alias("_yes"), F.bool_or(hopeless).alias("_no")))
@@ -170,33 +170,3 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
         rows = skew_join(still.drop("_down", "_up"), verdict, [ident]).filter("NOT _no")
         rows = rows.withColumn("_sure", F.col("_yes")).drop("_yes", "_no")
     return reduce(DataFrame.unionByName, done)
-
-
-def _replay(still: DataFrame, ident: str, order: list[str]) -> DataFrame:
-    """Judge a bounded number of open legs one request at a time, in one sorted partition."""
-
-    def judge(batches):
-        moved, current, held = {}, None, []
-
-        def close():
-            ok = all(d >= 0 or base + moved.get(a, 0) + d >= low for a, _, d, base, low in held)
-            if ok:
-                for a, delta, *_ in held:
-                    moved[a] = moved.get(a, 0) + delta
-            return current, ok
-
-        for pdf in batches:
-            out = []
-            for key, *leg in zip(*(pdf[c].tolist() for c in (ident, "account", "delta", "_debit", "_base", "_floor"))):
-                if key != current and held:
-                    out.append(close())
-                    held = []
-                current = key
-                held.append(leg)
-            yield pd.DataFrame(out, columns=[ident, "accepted"])
-        if held:
-            yield pd.DataFrame([close()], columns=[ident, "accepted"])
-
-    kind = still.schema[ident].dataType.simpleString()
-    rows = still.coalesce(1).sortWithinPartitions(*sort_keys(order))
-    return rows.mapInPandas(judge, f"{ident} {kind}, accepted boolean")

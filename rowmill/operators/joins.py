@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.session import materialize, plan_bytes, settled
+from rowmill.session import materialize, plan_bytes, rows_bound, settled
 
 TASK_ROWS = 2_000_000  # rows of one key that one task may take
-HOT_SHARE = 1 / 2000  # a hot key holds more than this share, so there are fewer than 2000 of them
-SMALL_BYTES = 32 << 20  # a table of this stored size is fair work for one task, so its groups need no check
+HOT_SHARE = 1 / 200_000  # a hot key holds more than this share, so there are fewer than 200 000 of them
+SMALL_BYTES = 32 << 20  # a table of this estimated size and of TASK_ROWS rows is fair work for one task, so its groups need no check
 
 
 def is_small(df: DataFrame) -> bool:
+    """True if both the estimated bytes and a bound of the rows say so; bytes alone mislead, as stored columns may be packed a thousandfold."""
     size = plan_bytes(df)
-    return size is not None and size <= SMALL_BYTES
+    if size is None or size > SMALL_BYTES:
+        return False
+    rows = rows_bound(df)
+    return rows is not None and rows <= TASK_ROWS
 
 
 def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
@@ -23,7 +27,7 @@ def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only when Catalyst's size estimate shows the table to be small."""
+    """Hint a broadcast only when the table proves small."""
     return F.broadcast(df) if is_small(df) else df
 
 
@@ -51,17 +55,23 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     """Equi join (inner, left, left_semi, left_anti) whose hot left keys are spread over many tasks.
 
     A right side that proves small is broadcast. Otherwise a key is hot above
-    both TASK_ROWS and HOT_SHARE of the left rows; hot left rows get a salt and
+    both TASK_ROWS and HOT_SHARE of the left rows (the second bounds the table of hot keys); hot left rows get a salt and
     the matching right rows are repeated once per salt. Adaptive execution
     splits skewed scans by itself; this form also covers a right side that is
     an aggregate, where it does not.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
-    if not is_small(left) and not is_small(right):
+    small = is_small(right)
+    if not small and not is_small(left):
         right = settled(right)  # its stored size is then known
-    if is_small(left) or is_small(right):
-        return equi_join(left, bounded_broadcast(right), keys, how, null_safe)
+        small = is_small(right)
+        if not small:
+            return _salted(left, right, keys, how, null_safe)
+    return equi_join(left, F.broadcast(right) if small else right, keys, how, null_safe)
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool) -> DataFrame:
     left = settled(left)
     total, largest = group_sizes(left, keys)
     bound = max(TASK_ROWS, int(total * HOT_SHARE))
@@ -96,12 +106,9 @@ def full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
-def grid(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Every combination of two small relations; refuses sides above ``max_rows``."""
-    for side in (left, right):
-        if side.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"grid is for relations of at most {max_rows} rows")
-    return left.withColumn("_one", F.lit(1)).join(F.broadcast(right.withColumn("_one", F.lit(1))), "_one").drop("_one")
+def grid(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every combination, as the open cross join it is; the right side is broadcast only if it proves small."""
+    return left.crossJoin(bounded_broadcast(right))
 
 
 def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:

@@ -41,8 +41,9 @@ def hash_bucket(c: Column, n: int) -> Column:
 
 
 def key_bucket(c: Column, n: int) -> Column:
-    """Hash bucket of a key of any type."""
-    return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    """Hash bucket of a key of any type: the first 32 bits of the MD5 digest of its text, which other engines can compute too."""
+    number = F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(n)).cast("int")
 
 
 def write_partitioned(df: DataFrame, path: str, label: str, compact: bool = False) -> None:
@@ -80,10 +81,17 @@ def read_years(spark: SparkSession, path: str, ts: str, label: str, first: int,
 
 
 def split_catch_all(spark: SparkSession, path: str, label: str, rest: str, relabel: Column) -> None:
-    """Move rows of the catch-all partition to new partitions; other partitions are not touched."""
-    rows = materialize(spark.read.parquet(path).filter(F.col(label) == rest))
-    truncate(spark, path, f"{label}={rest}")
-    rows.withColumn(label, relabel).write.partitionBy(label).mode("append").parquet(path)
+    """Move rows of the catch-all partition to new partitions; other partitions are not touched.
+
+    The moved rows are in their new place before the catch-all is written anew without them, so a failure in between loses no row.
+    """
+    rows = materialize(spark.read.parquet(path).filter(F.col(label) == rest).withColumn(label, relabel))
+    rows.filter(F.col(label) != rest).write.partitionBy(label).mode("append").parquet(path)
+    stay = rows.filter(~F.coalesce(F.col(label) != rest, F.lit(False))).withColumn(label, F.lit(rest))
+    if stay.isEmpty():
+        truncate(spark, path, f"{label}={rest}")
+    else:
+        stay.write.partitionBy(label).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def split_archive(df: DataFrame, ts: str, cutoff) -> tuple[DataFrame, DataFrame]:
@@ -107,11 +115,13 @@ def directory_shard(df: DataFrame, key: str, directory: DataFrame, default: str)
     return skew_join(df, directory, [key], "left").withColumn("shard", F.coalesce("shard", F.lit(default)))
 
 
-def scatter_gather(df: DataFrame, shard: Column, keys: list[str], value: Column) -> DataFrame:
-    """Count, sum and mean per key from per-shard partial sums; the mean is total over count, never a mean of means."""
-    parts = df.withColumn("_s", shard).withColumn("_v", value).groupBy("_s", *keys).agg(F.count("_v").alias("_n"), F.sum("_v").alias("_t"))
-    return parts.groupBy(*keys).agg(F.sum("_n").alias("cnt"), F.sum("_t").cast("double").alias("total"),
-                                    (F.sum("_t").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("mean"))
+def scatter_gather(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
+    """Count, sum and mean per key over all shards; the mean is total over count, never a mean of means.
+
+    Every task first sums its own rows (Spark's partial aggregation), which is the scatter; one shuffle of the partial sums gathers them.
+    """
+    sums = df.withColumn("_v", value).groupBy(*keys).agg(F.count("_v").alias("cnt"), F.sum("_v").cast("double").alias("total"))
+    return sums.withColumn("mean", F.col("total") / F.nullif(F.col("cnt"), F.lit(0)))
 
 
 def shard_skew(df: DataFrame, shard: Column) -> DataFrame:

@@ -48,8 +48,18 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str], update: list[str
 
 
 def upsert_add(target: DataFrame, rows: DataFrame, keys: list[str], counter: str) -> DataFrame:
-    """Add the counters of equal keys; correct for repeated keys in the batch too."""
-    return target.select(*keys, counter).unionByName(rows.select(*keys, counter)).groupBy(*keys).agg(F.sum(counter).alias(counter))
+    """Add the counters of equal keys; correct for repeated keys in the batch too.
+
+    Other columns of the target stay: those of its row for the key, or of one
+    batch row (the least) for a new key; NULL where the batch lacks them.
+    """
+    rest = [c for c in target.columns if c not in [*keys, counter]]
+    have = [c for c in rest if c in rows.columns]
+    both = target.withColumn("_new", F.lit(False)).unionByName(
+        rows.select(*keys, counter, *have).withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    kept = [F.min(F.struct("_new", *rest)).alias("_row")] if rest else []
+    added = both.groupBy(*keys).agg(F.sum(counter).alias(counter), *kept)
+    return added.select(*[F.col(f"_row.{c}") if c in rest else F.col(c) for c in target.columns])
 
 
 def update(df: DataFrame, assign: dict[str, Column], where: Column) -> DataFrame:

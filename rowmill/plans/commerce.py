@@ -7,6 +7,7 @@ from rowmill.functions.scalar import period_diff
 from rowmill.operators import allocation, baskets, ordered, paging
 from rowmill.plans.bindings import INVENTORY, ITEMS, inventory, items
 from rowmill.plans.registry import query
+from rowmill.session import settled
 from rowmill.sources.scan import latest
 
 
@@ -76,9 +77,12 @@ def top_products(t):
     live = t.orders.filter(~F.col("o_orderstatus").isin("P")).select(F.col("o_orderkey").alias("l_orderkey"))
     r = (t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice").join(live, "l_orderkey")
          .groupBy("l_partkey").agg(F.sum(money("l_extendedprice")).alias("revenue")))
-    r = ordered.ranks(r, [], ["-revenue"], rank="revenue_rank", dense="dense")
-    r = ordered.tiles(r, [], ["-revenue", "l_partkey"], 4, "quartile")
-    top = paging.top_k(r, ["revenue_rank", "l_partkey"], 20)
+    r = settled(r)  # the count and the best 20 read it
+    n = r.agg(F.count("*")).scalar()
+    top = paging.top_k(r, ["-revenue", "l_partkey"], 20)
+    best = Window.orderBy(F.desc("revenue"))  # over 20 rows: a rank up to 20 depends on the rows above it only
+    at = F.row_number().over(Window.orderBy(F.desc("revenue"), "l_partkey"))
+    top = top.withColumns({"revenue_rank": F.rank().over(best), "dense": F.dense_rank().over(best), "quartile": paging.tile_of(at, n, 4)})
     return (top.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
             .select("l_partkey", "p_name", F.col("revenue").cast("double").alias("revenue"), "revenue_rank", "dense", "quartile"))
 

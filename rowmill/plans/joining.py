@@ -199,13 +199,13 @@ def correlated_compare(t):
     return join_aggregate(t)
 
 
-NEXT_ID = """WITH k AS (SELECT event_id AS id FROM events WHERE event_type = 'purchase')"""
+NEXT_ID = """WITH k AS (SELECT DISTINCT l_orderkey AS id FROM lineitem)"""
 
 
 @query("jn_19_next_id", "JN-19", sql=NEXT_ID + """
     SELECT a.id, (SELECT min(b.id) FROM k b WHERE b.id > a.id) AS next_id FROM k a""")
 def next_id(t):
-    k = t.events.filter("event_type = 'purchase'").select(F.col("event_id").alias("id"))
+    k = t.lineitem.select(F.col("l_orderkey").alias("id")).distinct()
     return ordered.framed(k, [], ["id"], {"next_id": lambda w: F.lead("id").over(w)}, after=1)
 
 
@@ -272,10 +272,10 @@ def hint_broadcast(t):
 
 
 @query("jn_25_lookups_per_row", "JN-25", sql=f"""
-    WITH {EMP} SELECT n_name, (SELECT count(*) FROM emp WHERE dept_id = n_nationkey AND salary > 9900) AS headcount,
-      (SELECT max(salary) FROM emp WHERE dept_id = n_nationkey AND salary > 9900) AS top_salary FROM nation""")
+    WITH {EMP} SELECT n_name, (SELECT count(*) FROM emp WHERE dept_id = n_nationkey) AS headcount,
+      (SELECT max(salary) FROM emp WHERE dept_id = n_nationkey) AS top_salary FROM nation""")
 def lookups_per_row(t):
-    stats = emp(t).filter("salary > 9900").groupBy("dept_id").agg(F.count("*").alias("n"), F.max("salary").alias("top_salary"))
+    stats = emp(t).groupBy("dept_id").agg(F.count("*").alias("n"), F.max("salary").alias("top_salary"))
     return (t.nation.join(stats, F.col("n_nationkey") == F.col("dept_id"), "left")
             .select("n_name", F.coalesce("n", F.lit(0)).alias("headcount"), "top_salary"))
 

@@ -10,6 +10,7 @@ from rowmill.functions.money import money
 from rowmill.operators import layout
 from rowmill.plans.registry import query
 from rowmill.session import shared_folder
+from rowmill.sources.sink import truncate
 
 YEARS = """CASE WHEN year(o_orderdate) < 1999 THEN 'p1998' WHEN year(o_orderdate) < 2000 THEN 'p1999' WHEN year(o_orderdate) < 2001 THEN 'p2000'
     ELSE 'p_future' END"""
@@ -56,11 +57,23 @@ def hash_partitions(t):
     return layout.partition_counts(t.orders, layout.hash_bucket(F.col("o_orderkey"), 8))
 
 
-@query("pt_06_key_partitions", "PT-06")
+@query("pt_06_key_partitions", "PT-06", sql="""
+    SELECT (('0x' || substr(md5(c_name), 1, 8))::BIGINT % 4)::INT AS label, count(*) AS row_count FROM customer GROUP BY 1""")
 def key_partitions(t):
     return layout.partition_counts(t.customer, layout.key_bucket(F.col("c_name"), 4))
 
 
+@query("src_19_truncate_partition", "SRC-19", sql="""
+    SELECT 'p' || least(greatest(year(o_orderdate), 1998), 2000) AS label, count(*) AS row_count FROM orders WHERE year(o_orderdate) <> 1999 AND year(o_orderdate) < 2001 GROUP BY 1""")
+def truncate_partition(t):
+    """Orders stored by year; one partition, and then the catch-all, is emptied."""
+    path = os.path.join(shared_folder(t.spark), f"orders-by-year-{uuid.uuid4().hex}")
+    layout.write_partitioned(labelled(t), path, "label")
+    for label in ("p1999", "p_future"):
+        truncate(t.spark, path, f"label={label}")
+    return layout.partition_counts(t.spark.read.parquet(path), F.col("label"))
+
+
 @query("pt_07_pruned_read", "PT-07", sql="""
     SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1999-03-01' AND o_orderdate < TIMESTAMP '2000-01-01'""")
 def pruned_read(t):
@@ -113,7 +126,7 @@ def directory_shards(t):
     SELECT o_orderstatus, count(*) AS cnt, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total, sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(*) AS mean
     FROM orders GROUP BY 1""")
 def scatter_gather(t):
-    return layout.scatter_gather(t.orders, layout.hash_bucket(F.col("o_custkey"), 4), ["o_orderstatus"], money("o_totalprice"))
+    return layout.scatter_gather(t.orders, ["o_orderstatus"], money("o_totalprice"))
 
 
 @query("pt_15_shard_skew", "PT-15", sql="""

@@ -160,12 +160,12 @@ TYPES = ["view", "click", "signup", "purchase", "error"]
 
 @query("fn_36_set_mask", "FN-36", sql="""
     WITH m AS (SELECT user_id, bit_or(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 4 WHEN 'purchase' THEN 8
-      WHEN 'error' THEN 16 END)::BIGINT AS mask FROM events WHERE value > 12 GROUP BY 1)
+      WHEN 'error' THEN 16 END)::BIGINT AS mask FROM events GROUP BY 1)
     SELECT user_id, mask, concat_ws(',', CASE WHEN mask & 1 > 0 THEN 'view' END, CASE WHEN mask & 2 > 0 THEN 'click' END,
       CASE WHEN mask & 4 > 0 THEN 'signup' END, CASE WHEN mask & 8 > 0 THEN 'purchase' END, CASE WHEN mask & 16 > 0 THEN 'error' END) AS members,
       mask & 8 > 0 AS bought FROM m""")
 def set_mask(t):
-    m = t.events.filter("value > 12").groupBy("user_id").agg(F.bit_or(scalar.set_mask(F.col("event_type"), TYPES)).alias("mask"))
+    m = t.events.groupBy("user_id").agg(F.bit_or(scalar.set_mask(F.col("event_type"), TYPES)).alias("mask"))
     members = scalar.set_members(F.col("mask"), TYPES)
     return m.select("user_id", "mask", F.array_join(members, ",").alias("members"), F.array_contains(members, "purchase").alias("bought"))
 

@@ -59,7 +59,9 @@ def plan_limits(t):
 def cancellation_rate(t):
     day = F.col("o_orderdate")
     inside = day.between(F.lit("1996-10-01").cast("timestamp_ntz"), F.lit("1996-12-31").cast("timestamp_ntz"))
-    drivers = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_suppkey").alias("driver"))
+    asked = t.orders.filter(inside).select(F.col("o_orderkey").alias("l_orderkey"))
+    drivers = (t.lineitem.select("l_orderkey", "l_suppkey").join(asked, "l_orderkey", "left_semi")
+               .groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_suppkey").alias("driver")))
     clients = t.customer.filter("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("o_custkey"))
     allowed = t.supplier.filter("s_suppkey % 7 <> 0").select(F.col("s_suppkey").alias("driver"))
     trips = (t.orders.filter(inside).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")

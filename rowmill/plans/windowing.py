@@ -238,17 +238,17 @@ def long_islands(t):
 
 
 @query("wn_31_longest_run", "WN-31", sql="""
-    WITH d AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A'), g AS (SELECT k - row_number() OVER (ORDER BY k) AS run FROM d)
+    WITH d AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), g AS (SELECT k - row_number() OVER (ORDER BY k) AS run FROM d)
     SELECT max(n) AS longest FROM (SELECT count(*) AS n FROM g GROUP BY run)""")
 def longest_run(t):
-    return islands.runs_of(t.lineitem.filter("l_returnflag = 'A'"), "l_orderkey").agg(F.max("run_length").alias("longest"))
+    return islands.runs_of(t.lineitem, "l_orderkey").agg(F.max("run_length").alias("longest"))
 
 
 @query("wn_32_gaps", "WN-32", sql="""
     SELECT id + 1 AS gap_start, nxt - 1 AS gap_end FROM
-      (SELECT event_id AS id, lead(event_id) OVER (ORDER BY event_id) AS nxt FROM events WHERE event_type <> 'view') WHERE nxt > id + 1""")
+      (SELECT l_orderkey AS id, lead(l_orderkey) OVER (ORDER BY l_orderkey) AS nxt FROM (SELECT DISTINCT l_orderkey FROM lineitem)) WHERE nxt > id + 1""")
 def gaps(t):
-    return islands.gaps(t.events.filter("event_type <> 'view'"), "event_id")
+    return islands.gaps(t.lineitem.select("l_orderkey").distinct(), "l_orderkey")
 
 
 def session_sql(minutes):

@@ -31,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="rowmill-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -51,11 +51,46 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan; None where the session does not expose it (Spark Connect)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+    if not hasattr(df, "_jdf"):
+        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+#: Operators that put out no more rows than they take in.
+KEEPING = {"Project", "Filter", "Aggregate", "Distinct", "Deduplicate", "Sort", "GlobalLimit", "LocalLimit", "Window", "Union",
+           "SubqueryAlias", "Repartition", "RepartitionByExpression"}
+
+
+def rows_bound(df: DataFrame) -> int | None:
+    """At most how many rows a plan gives: those of the Parquet files below it, read from their footers.
+
+    None if an operator may multiply rows (a generator, an expansion, a join
+    other than a semi or anti join) or a leaf is of another kind.
+    """
+    if not hasattr(df, "_jdf"):
         return None
 
+    def parts(seq) -> list:
+        return [seq.apply(i) for i in range(seq.size())]
+
+    def bound(node) -> int | None:
+        name = node.nodeName()
+        if name.startswith("LocalRelation"):
+            return node.data().size()
+        if name.startswith("LogicalRelation") or name.startswith("Relation"):
+            relation = node.relation()
+            if "HadoopFsRelation" not in relation.getClass().getName() or "Parquet" not in relation.fileFormat().getClass().getName():
+                return None
+            return df.sparkSession.read.parquet(*[p.toString() for p in parts(relation.location().rootPaths())]).count()
+        if name == "Join":
+            return bound(node.left()) if node.joinType().toString() in ("LeftSemi", "LeftAnti") else None
+        if name not in KEEPING:
+            return None
+        below = [bound(child) for child in parts(node.children())]
+        return None if None in below else sum(below)
+
+    return bound(df._jdf.queryExecution().optimizedPlan())
+
 
 def shuffles(df: DataFrame) -> bool:
     """True when computing ``df`` moves rows between tasks, so that computing it twice is worth avoiding."""
