@@ -14,7 +14,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from rowmill.operators.joins import skew_join
 from rowmill.operators.ordered import names, plan_slices, running_sums, sort_keys
-from rowmill.session import materialize
+from rowmill.session import forget, materialize
 
 
 def allocate(requests: DataFrame, stock: DataFrame, product: str, order: list[str], qty: str, level: str = "stock") -> DataFrame:
@@ -152,6 +152,7 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
     unknown = net.filter(F.col("_base").isNull()).select(ident).distinct()
     done = [unknown.withColumn("accepted", F.lit(False))]
     rows = net.join(unknown, ident, "left_anti").withColumn("_sure", F.lit(False))
+    kept = None
     while True:
         run = running_sums(rows, ["account"], order, {
             "_known": F.when(F.col("_sure"), F.col("delta")).otherwise(0),
@@ -161,6 +162,9 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
             "_base": F.col("_base") + F.col("_known"),
             "_down": F.col("_down") - F.least("delta", F.lit(0)), "_up": F.col("_up") - F.greatest("delta", F.lit(0))})
         still = materialize(still.drop("_known", "_sure"))
+        if kept is not None:
+            forget(kept)
+        kept = still
         safe = (F.col("_debit") >= 0) | (F.col("_base") + F.col("_down") + F.col("_debit") >= F.col("_floor"))
         hopeless = (F.col("_debit") < 0) & (F.col("_base") + F.col("_up") + F.col("_debit") < F.col("_floor"))
         verdict = materialize(still.groupBy(ident).agg(F.bool_and(safe).alias("_yes"), F.bool_or(hopeless).alias("_no")))

@@ -1,4 +1,4 @@
-"""Walks through parent-child tables, one distributed join per level."""
+"""Parent-child tables: paths from the roots by pointer doubling, and the ancestors of a few starts."""
 
 from __future__ import annotations
 
@@ -7,53 +7,59 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.session import materialize
+from rowmill.session import forget, materialize
 
 
-def walk_down(nodes: DataFrame, ident: str, parent: str, start: dict[str, Column],
-              step: dict[str, Callable[[Callable[[str], Column]], Column]], max_depth: int = 10_000) -> DataFrame:
-    """All nodes reachable from the roots (NULL parent), with values carried down.
+def from_roots(nodes: DataFrame, ident: str, parent: str, own: dict[str, Column],
+               combine: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
+    """All nodes that a root (NULL parent) reaches, with values combined along the path from it.
 
-    ``start`` gives the carried values of a root. ``step`` gives those of a
-    child from its own columns; its argument looks up the parent's value.
-    Each level is written out, so lineage does not grow, and is read back as
-    a small table that adaptive execution may broadcast. Reaching
-    ``max_depth`` means a cycle and is an error; nothing is cut off.
+    ``own`` gives a node's own part of each value; ``combine`` joins the part
+    of an upper stretch with that of the stretch below it and must be
+    associative. Each round joins every open stretch with the one that ends
+    where it starts, which doubles its length: a depth of D takes log2(D)
+    joins. Nodes still open when stretches are longer than the table has rows
+    lie in or below a cycle, which no root reaches; they are left out.
     """
-    level = materialize(nodes.filter(F.col(parent).isNull()).withColumns(start))
-    levels = [level]
-    while not level.isEmpty():
-        if len(levels) > max_depth:
-            raise ValueError(f"more than {max_depth} levels: the table has a cycle")
-        above = level.select(F.col(ident).alias(parent), *[F.col(k).alias(f"_up_{k}") for k in start])
-        below = nodes.join(above, parent).withColumns({k: f(lambda c: F.col(f"_up_{c}")) for k, f in step.items()})
-        level = materialize(below.select(*levels[0].columns))
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
+    columns = nodes.columns
+    state = materialize(nodes.withColumns(own).withColumn("_up", F.col(parent)))
+    open_rows, length = state.filter("_up IS NOT NULL").count(), 1
+    total = state.count() if open_rows else 0
+    while open_rows and length <= total:
+        above = state.select(F.col(ident).alias("_at"), F.col("_up").alias("_next"), *[F.col(v).alias(f"_above_{v}") for v in own])
+        longer = state.filter("_up IS NOT NULL").join(above, F.col("_up") == F.col("_at"))
+        longer = longer.select(*columns, *[combine[v](F.col(f"_above_{v}"), F.col(v)).alias(v) for v in own], F.col("_next").alias("_up"))
+        last, state = state, materialize(state.filter("_up IS NULL").unionByName(longer))
+        forget(last)
+        open_rows, length = state.filter("_up IS NOT NULL").count(), 2 * length
+    return state.filter("_up IS NULL").drop("_up")
 
 
 def org_chart(nodes: DataFrame, ident: str, parent: str, name: str, sep: str = " → ") -> DataFrame:
     """Depth (roots are 0) and path of names."""
-    return walk_down(nodes, ident, parent, {"depth": F.lit(0), "path": F.col(name)},
-                     {"depth": lambda up: up("depth") + 1, "path": lambda up: F.concat(up("path"), F.lit(sep), F.col(name))})
+    return from_roots(nodes, ident, parent, {"depth": F.col(parent).isNotNull().cast("int"), "path": F.col(name)},
+                      {"depth": lambda up, low: up + low, "path": lambda up, low: F.concat(up, F.lit(sep), low)})
 
 
 def exploded_parts(bom: DataFrame, ident: str, parent: str, name: str, quantity: str, sep: str = " > ") -> DataFrame:
     """Bill of materials: total quantity needed (product along the path), level from 1, and path."""
-    one = F.col(quantity).cast("bigint")
-    return walk_down(bom, ident, parent, {"level": F.lit(1), "total_needed": one, "path": F.col(name)},
-                     {"level": lambda up: up("level") + 1, "total_needed": lambda up: up("total_needed") * one,
-                      "path": lambda up: F.concat(up("path"), F.lit(sep), F.col(name))})
+    return from_roots(bom, ident, parent, {"level": F.lit(1), "total_needed": F.col(quantity).cast("bigint"), "path": F.col(name)},
+                      {"level": lambda up, low: up + low, "total_needed": lambda up, low: up * low,
+                       "path": lambda up, low: F.concat(up, F.lit(sep), low)})
+
 
+def ancestors(nodes: DataFrame, ident: str, parent: str, starts: DataFrame) -> DataFrame:
+    """For each id in the one-column frame ``starts``: the node itself (depth 0) and every ancestor.
 
-def ancestors(nodes: DataFrame, ident: str, parent: str, starts: DataFrame, max_depth: int = 10_000) -> DataFrame:
-    """For each id in the one-column frame ``starts``: the node itself (depth 0) and every ancestor."""
+    More levels than nodes mean a cycle, which is an error.
+    """
+    most = nodes.count()
     first = starts.select(F.col(starts.columns[0]).alias("start"))
     level = materialize(nodes.join(first, F.col(ident) == F.col("start")).withColumn("depth", F.lit(0)))
     levels = [level]
     while not level.isEmpty():
-        if len(levels) > max_depth:
-            raise ValueError(f"more than {max_depth} levels: the table has a cycle")
+        if len(levels) > most:
+            raise ValueError(f"more than {most} levels: the table has a cycle")
         links = level.select("start", F.col(parent).alias(ident), (F.col("depth") + 1).alias("depth"))
         level = materialize(nodes.join(links, ident).select(*levels[0].columns))
         levels.append(level)

@@ -46,7 +46,21 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = os.path.join(shared_folder(df.sparkSession), f"t-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table from ``materialize`` that nothing reads any more, as a round's once the next one is written."""
+    path = getattr(df, "_stored_at", None)
+    if path is None:
+        return
+    if not hasattr(df, "_jdf"):
+        return
+    spark = df.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def plan_bytes(df: DataFrame) -> int | None:

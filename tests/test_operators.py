@@ -120,7 +120,7 @@ def test_bill_of_materials(spark):
 def test_cycle_is_an_error(spark):
     loop = literal_rows(spark, "id int, p int", [(1, 2), (2, 1)])
     with pytest.raises(ValueError):
-        hierarchy.ancestors(loop, "id", "p", loop.filter("id = 1").select("id"), max_depth=5)
+        hierarchy.ancestors(loop, "id", "p", loop.filter("id = 1").select("id"))
 
 
 def test_keep_lowest_and_duplicates(spark):
