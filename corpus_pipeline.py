@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowmill.llm import bpe, decontamination, near_dedup, quality_classifier, quality_rules
-from rowmill.llm.common import table
+from rowmill.llm.common import find_package, table
 from rowmill.session import materialize
 
 
@@ -20,11 +20,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base test and all rules."""
+    find_package(spark)
     return quality_rules.keep_passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: that of the least doc_id."""
+    find_package(spark)
     return near_dedup.keep_one(docs)
 
 
@@ -37,6 +39,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the kept documents."""
     import public_tokenizers
 
+    find_package(spark)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"], ids=False, digests=True)
 
 
