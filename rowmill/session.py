@@ -51,16 +51,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return stored
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store that Spark reads; none if it does not exist."""
+    store, where = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(where)) if store.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, where = _folder(spark, path)
+    store.delete(where, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table from ``materialize`` that nothing reads any more, as a round's once the next one is written."""
     path = getattr(df, "_stored_at", None)
-    if path is None:
-        return
-    if not hasattr(df, "_jdf"):
-        return
-    spark = df.sparkSession
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+    if path is not None and hasattr(df, "_jdf"):
+        remove(df.sparkSession, path)
 
 
 def plan_bytes(df: DataFrame) -> int | None:

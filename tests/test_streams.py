@@ -34,7 +34,7 @@ def rows(df):
 
 
 def test_sessions(spark, parts, tmp_path):
-    got = feeds.run_to_table(feeds.session_stream(stream(spark, parts)), str(tmp_path))
+    got = feeds.run_to_table(feeds.session_stream(stream(spark, parts)), str(tmp_path / "s"))
     batch = islands.sessions(scan(spark, SF, "events"), "user_id", "ts", "event_id").drop("session_no")
     cut = closed_before(spark, "10 MINUTES")
     want = batch.filter(F.col("session_end") + F.expr("INTERVAL 31 MINUTES") - F.expr("INTERVAL 0.000001 SECONDS") <= F.lit(cut))
@@ -44,18 +44,40 @@ def test_sessions(spark, parts, tmp_path):
 
 def test_rates(spark, parts, tmp_path):
     from rowmill.plans.scenarios import minute_counts
-    got = feeds.run_to_table(feeds.rate_stream(stream(spark, parts)), str(tmp_path))
+    got = feeds.run_to_table(feeds.rate_stream(stream(spark, parts)), str(tmp_path / "r"))
     cut = closed_before(spark, "5 MINUTES")
     want = minute_counts(scan(spark, SF, "events")).filter(F.col("window_start") + F.expr("INTERVAL 1 MINUTE") <= F.lit(cut))
     assert rows(got.select("user_id", "window_start", "requests")) == rows(want.select("user_id", "window_start", "requests"))
 
 
 def test_daily_users_replay(spark, parts, tmp_path):
-    table = feeds.DailyUsersTable(spark, str(tmp_path))
+    table = feeds.DailyUsersTable(spark, str(tmp_path / "d"))
     got = table.run(stream(spark, parts))
     want = scan(spark, SF, "events").groupBy(F.to_date("ts").alias("metric_date")).agg(F.countDistinct("user_id").alias("value"))
     assert rows(got.select("metric_date", "value")) == rows(want)
     batch = scan(spark, SF, "events").withColumn("ts", feeds.zoned("ts"))
     table.upsert_batch(batch, 99)  # a replayed batch changes nothing
-    again = spark.read.schema(got.schema).parquet(table.current)
-    assert rows(again.select("metric_date", "value")) == rows(want)
+    assert rows(table.metrics().select("metric_date", "value")) == rows(want)
+
+
+def test_streams_resume_and_finish(spark, tmp_path):
+    """Two files, a stop after the first; then the mark that ends the input. All windows come out, each once."""
+    events = scan(spark, SF, "events")
+    middle = events.agg(F.expr("percentile_approx(unix_micros(to_timestamp_ltz(ts)), 0.5)")).first()[0]
+    first = F.unix_micros(F.expr("to_timestamp_ltz(ts)")) <= middle
+    parts, end = str(tmp_path / "parts"), str(tmp_path / "end")
+    events.limit(0).coalesce(1).write.parquet(end)
+    days = {}
+    for k, some in enumerate([events.filter(first), events.filter(~first)]):
+        some.coalesce(1).write.mode("append").parquet(parts)
+        if k:
+            feeds.close_input(events, end)
+        source = lambda: feeds.event_stream(spark, parts, "*.parquet", end)
+        sessions = feeds.run_to_table(feeds.session_stream(source()), str(tmp_path / "s"))
+        rates = feeds.run_to_table(feeds.rate_stream(source()), str(tmp_path / "r"))
+        days = feeds.DailyUsersTable(spark, str(tmp_path / "d")).run(feeds.event_stream(spark, parts, "*.parquet"))
+    batch = islands.sessions(events, "user_id", "ts", "event_id").drop("session_no")
+    assert rows(sessions.select("user_id", "session_start", "session_end", "events")) == rows(batch.select("user_id", "session_start", "session_end", "events"))
+    assert rates.agg(F.sum("requests")).first()[0] == events.count()
+    want = events.groupBy(F.to_date("ts").alias("metric_date")).agg(F.countDistinct("user_id").alias("value"))
+    assert rows(days.select("metric_date", "value")) == rows(want)
