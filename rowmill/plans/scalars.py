@@ -197,6 +197,7 @@ def days_employed(t):
     return t.orders.select("o_orderkey", udf.days_employed(F.to_date("o_orderdate"), F.to_date(latest(t.orders, "o_orderdate"))).cast("bigint").alias("days"))
 
 
+# Plan names and user limits, as in functions/udf.py.
 PLAN_SQL = "['free', 'starter', 'pro', 'enterprise', 'legacy'][1 + {} % 5]"
 LIMIT_SQL = "CASE {} WHEN 'free' THEN 5 WHEN 'starter' THEN 25 WHEN 'pro' THEN 100 WHEN 'enterprise' THEN 999999 END"
 

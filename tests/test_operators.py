@@ -19,6 +19,7 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+# Small tables with known results.
 DEPT = [(1, "Engineering", "NYC"), (2, "Marketing", "LA"), (3, "HR", "Chicago"), (4, "Finance", "NYC")]
 EMP = [(1, "Alice", 1, None, 120000), (2, "Bob", 1, 1, 95000), (3, "Carol", 1, 1, 90000), (4, "Dave", 2, None, 85000),
        (5, "Eve", 2, 4, 75000), (6, "Frank", 3, None, 70000), (7, "Grace", None, 1, 65000)]
@@ -52,6 +53,7 @@ def test_org_chart_and_grades(spark, org):
     assert grades == {"Alice": "Senior", "Bob": "Mid", "Carol": "Mid", "Dave": "Mid", "Eve": "Mid", "Frank": "Junior", "Grace": "Junior"}
 
 
+# A small table with known results.
 STAFF = [(1, "Alice", "Engineering", 95000, None), (2, "Bob", "Engineering", 85000, 1), (3, "Carol", "Marketing", 75000, 4),
          (4, "Dave", "Marketing", 90000, None), (5, "Eve", "Engineering", 80000, 1), (6, "Frank", "HR", 65000, None),
          (7, "Grace", "HR", 60000, 6), (8, "Heidi", "Engineering", 70000, 2)]
