@@ -4,7 +4,7 @@ The leaf of a live position holds the rank of the pair that starts there, with t
 digits, so the root is the leftmost pair of minimum rank. A merge changes three leaves: the pair itself, the position it
 swallows and the live neighbour before it. n bytes take O(n log n) steps, so a very long match is no special case.
 
-Matches repeat, so each worker keeps the ids of up to 3 * 2^18 recent units (see ``units``) and as many matches in memory; the result does not
+Matches repeat, so each worker keeps the ids of up to 2^19 recent units (see ``units``) and as many matches in memory; the result does not
 depend on it.
 
 Defined cases: a null text counts as empty and has no tokens; texts of any length are encoded whole; equal rows give equal
@@ -94,9 +94,9 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(r) for token, r in map(bytes.split, f)}
         self.tokens = {r: token for token, r in self.ranks.items()}
         self.matches = regex.compile(pattern).findall
-        pieces = Memo(self._piece, 3 << 18)
+        pieces = Memo(self._piece, 1 << 19)
         self.plain = Memo(lambda unit: b"".join(map(pieces.__getitem__, self.matches(unit))), 1 << 16)
-        self.spaced = Memo(lambda word: b"".join(map(pieces.__getitem__, self.matches(" " + word))), 3 << 18)
+        self.spaced = Memo(lambda word: b"".join(map(pieces.__getitem__, self.matches(" " + word))), 1 << 19)
 
     def _piece(self, piece: str) -> bytes:
         ids = merged(piece.encode(), self.ranks)

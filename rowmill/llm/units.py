@@ -27,16 +27,23 @@ def units(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """Results by key, worked out when first asked for; emptied at ``most`` entries; keys over ``width`` characters are not kept."""
+    """Results by key, worked out when first asked for. At most about ``most`` are kept, keys over ``width`` characters never.
+
+    When half of them are new, the half before is dropped; what is asked for again in the meantime counts as new.
+    """
 
     def __init__(self, work: Callable, most: int = 1 << 19, width: int = 64):
         super().__init__()
-        self.work, self.most, self.width = work, most, width
+        self.work, self.half, self.width = work, most // 2, width
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.work(key)
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.work(key)
         if len(key) <= self.width:
-            if len(self) >= self.most:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value

@@ -82,9 +82,11 @@ def test_units_join_to_the_text(texts):
 
 
 def test_memo_is_bounded():
-    memo = Memo(len, most=3, width=2)
-    assert [memo[k] for k in ("a", "b", "c", "d", "long")] == [1, 1, 1, 1, 4]
-    assert len(memo) <= 3 and "long" not in memo
+    asked = []
+    memo = Memo(lambda k: asked.append(k) or len(k), most=4, width=2)
+    assert [memo[k] for k in ("a", "b", "c", "a", "d", "e", "f", "a", "b", "long")] == [1] * 9 + [4]
+    assert len(memo) + len(memo.older) <= 4 and "long" not in memo
+    assert asked == ["a", "b", "c", "d", "e", "f", "a", "b", "long"]
 
 
 def test_op9_and_op10_rows(spark, tmp_path, library):
