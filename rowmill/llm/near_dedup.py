@@ -3,9 +3,10 @@
 A fingerprint has 64 bits; two link at RADIUS or fewer differing bits. Hamming distance is a metric, so distances to fixed reference
 fingerprints ("pivots") bound it from below. Two tables of such distances are worked out once for each distinct fingerprint:
 
-* block tables: the bits fall into RADIUS + 2 blocks, each with BLOCK_PIVOTS references that are compared on that block alone.
-  RADIUS differing bits touch at most RADIUS blocks, so two linked fingerprints have all distances equal in two blocks at least.
-  Equality of the distances of two blocks is the join key: an equi-join, which finds every link;
+* block tables: the bits fall into RADIUS + 2 blocks or more, each with BLOCK_PIVOTS references that are compared on that block alone.
+  RADIUS differing bits touch at most RADIUS blocks, so two linked fingerprints have all distances equal in the other blocks.
+  Equality of the distances of as many blocks is the join key: an equi-join, which finds every link. More blocks make
+  more keys, and each far more selective; the number only changes the work (see ``blocks_for``), never the links;
 * full tables: distances of the whole fingerprint to FULL_PIVOTS references. A pair that meets is discarded if the
   largest difference of coordinates exceeds the radius; the rest is verified by counting differing bits.
 
@@ -21,8 +22,10 @@ gives no rows; very long texts are hashed in blocks of shingles; further columns
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations
+from math import comb
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,7 @@ BITS = 64
 SEED = 42
 BLOCK_PIVOTS = 12
 FULL_PIVOTS = 8
+CHANCE = 64
 STEP = 1 << 16
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -83,8 +87,16 @@ def reference(i: int) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(f"reference {i}", SEED)).view(np.int64))
 
 
-def block_masks(radius: int = RADIUS) -> list[int]:
-    edges = [round(BITS * i / (radius + 2)) for i in range(radius + 3)]
+def blocks_for(rows: int, radius: int = RADIUS) -> int:
+    """The least number of blocks at which chance makes a fingerprint meet at most CHANCE of ``rows`` others."""
+    for blocks in range(radius + 2, radius + 7):
+        if rows * comb(blocks, radius) <= CHANCE * 2 ** (BITS * (blocks - radius) / blocks):
+            break
+    return blocks
+
+
+def block_masks(blocks: int = RADIUS + 2) -> list[int]:
+    edges = [round(BITS * i / blocks) for i in range(blocks + 1)]
     return [int(np.uint64((1 << b) - (1 << a)).view(np.int64)) for a, b in zip(edges, edges[1:])]
 
 
@@ -105,20 +117,20 @@ def _largest_difference(a: Column, b: Column) -> Column:
     return F.greatest(*[F.abs(at(a, i) - at(b, i)) for i in range(FULL_PIVOTS)])
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """(a, b), a < b: all pairs of the distinct fingerprints ``fp`` within the radius, once each."""
-    masks = block_masks(radius)
-    pairs = list(combinations(range(len(masks)), 2))
+    masks = block_masks(blocks or blocks_for(distinct.count(), radius))
+    same = list(combinations(range(len(masks)), len(masks) - radius))
     fp = F.col("fp")
     tables = distinct.select("fp", full_table(fp).alias("full"), *[block_table(fp, i, m).alias(f"t{i}") for i, m in enumerate(masks)])
-    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), f"t{i}", f"t{j}").alias("key")) for k, (i, j) in enumerate(pairs)])
+    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), *[f"t{i}" for i in some]).alias("key")) for k, some in enumerate(same)])
     keyed = tables.select("fp", "full", F.explode(keys).alias("x")).select("fp", "full", "x.k", "x.key")
     a, b = keyed.alias("a"), keyed.alias("b")
     fa, fb = F.col("a.fp"), F.col("b.fp")
     differing = fa.bitwiseXOR(fb)
-    first = F.lit(-1)  # the first pair of blocks without a differing bit; radius or fewer bits leave one at least
-    for k, (i, j) in reversed([*enumerate(pairs)]):
-        first = F.when(differing.bitwiseAND(F.lit(masks[i] | masks[j])) == 0, F.lit(k)).otherwise(first)
+    first = F.lit(None).cast("int")  # the first key of blocks without a differing bit; radius or fewer bits leave one at least
+    for k, some in reversed([*enumerate(same)]):
+        first = F.when(differing.bitwiseAND(F.lit(reduce(or_, (masks[i] for i in some)))) == 0, F.lit(k)).otherwise(first)
     met = (F.col("a.key") == F.col("b.key")) & (F.col("a.k") == F.col("b.k")) & (fa < fb)
     close = (_largest_difference(F.col("a.full"), F.col("b.full")) <= radius) & (F.bit_count(differing) <= radius)
     return a.join(b, met & close & (first == F.col("a.k"))).select(fa.alias("a"), fb.alias("b"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from rowmill.llm import near_dedup
@@ -72,7 +73,8 @@ def test_op4_matches_brute_force(spark, tmp_path):
     assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in rows) == want
 
 
-def test_links_are_exact_and_single(spark):
+@pytest.mark.parametrize("blocks", [None, 7, 9])
+def test_links_are_exact_and_single(spark, blocks):
     rng = random.Random(3)
     base, fps = [rng.getrandbits(64) for _ in range(4)], set()
     for _ in range(800):
@@ -82,11 +84,18 @@ def test_links_are_exact_and_single(spark):
         fps.add(x)
     fps = [*fps]
     signed = lambda x: int(np.uint64(x).view(np.int64))
-    got = near_dedup.links(spark.createDataFrame([(signed(x),) for x in fps], "fp bigint")).collect()
+    got = near_dedup.links(spark.createDataFrame([(signed(x),) for x in fps], "fp bigint"), blocks=blocks).collect()
     want = {tuple(sorted((signed(a), signed(b)))) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 4}
     assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
 
 
+def test_blocks_grow_with_the_fingerprints():
+    assert [near_dedup.blocks_for(n) for n in (0, 10**6, 10**8, 10**10)] == [6, 6, 7, 9]
+    for blocks in range(6, 11):
+        masks = near_dedup.block_masks(blocks)
+        assert sum(int(np.uint64(m & (2**64 - 1))).bit_count() for m in masks) == 64 and len(masks) == blocks
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)]
     rows = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
