@@ -55,24 +55,26 @@ _TOKEN = re.compile(r"\S+")
 
 def plain(token: str) -> str:
     """Lower case, without other characters than letters at its ends."""
-    return _EDGE.sub("", token.lower())
+    token = token.lower()
+    return token if token.isalpha() else _EDGE.sub("", token)
 
 
-def _slot(kind: str, value: str) -> int:
-    return zlib.crc32(f"{kind}:{value}".encode()) & (TABLE - 1)
+#: Starting values of the checksums, so that kinds of features differ.
+_WORD, _B3, _B4, _B5, _E3, _BEFORE, _AFTER = (zlib.crc32(kind) for kind in (b"word", b"b3", b"b4", b"b5", b"e3", b"before", b"after"))
+_SIZES = [zlib.crc32(b"size %d" % n) & (TABLE - 1) for n in range(13)]
+_BIAS = zlib.crc32(b"bias") & (TABLE - 1)
 
 
-def own_features(token: str) -> list[int]:
-    """Table places of a token's own features."""
+def features(token: str) -> tuple[list[int], int, int]:
+    """Table places of a token: its own features (the word, its beginnings and end, its size, a constant), as the one before, and as the one after."""
     w = plain(token)
-    kinds = [("word", w), ("b3", w[:3]), ("b4", w[:4]), ("b5", w[:5]), ("e3", w[-3:]), ("size", str(min(len(w), 12))), ("bias", "")]
-    return [_slot(k, v) for k, v in kinds]
-
-
-def neighbour_features(token: str) -> tuple[int, int]:
-    """Table places of a token as the one before, and as the one after."""
-    w = plain(token)
-    return _slot("before", w), _slot("after", w)
+    crc, mask, data = zlib.crc32, TABLE - 1, w.encode()
+    if len(w) == len(data):  # ASCII
+        a, b, c, d = data[:3], data[:4], data[:5], data[-3:]
+    else:
+        a, b, c, d = w[:3].encode(), w[:4].encode(), w[:5].encode(), w[-3:].encode()
+    own = [crc(data, _WORD) & mask, crc(a, _B3) & mask, crc(b, _B4) & mask, crc(c, _B5) & mask, crc(d, _E3) & mask, _SIZES[min(len(w), 12)], _BIAS]
+    return own, crc(data, _BEFORE) & mask, crc(data, _AFTER) & mask
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -147,24 +149,26 @@ class Tagger:
 
     def __init__(self, field: Field):
         self.field = field
-        self._clear()
-
-    def _clear(self) -> None:
+        self.weights = field.weights.tolist()
         self.place: dict[str, int] = {}
-        self.sums: list[tuple[float, float, float]] = []
+        self.sums = np.empty((KEPT, 3))
 
     def _weights(self, words: list[str]) -> np.ndarray:
         """(tokens, 3): of the token itself, as the one before, as the one after."""
-        if len(self.place) > KEPT:
-            self._clear()
-        place, sums, w = self.place, self.sums, self.field.weights
-        for word in set(words).difference(place):
-            before, after = neighbour_features(word)
-            place[word] = len(sums)
-            sums.append((float(w[own_features(word)].sum()), float(w[before]), float(w[after])))
-        ids = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        found, back = np.unique(ids, return_inverse=True)
-        return np.array([sums[i] for i in found]).reshape(-1, 3)[back]
+        distinct = set(words)
+        new = distinct.difference(self.place)
+        if len(self.place) + len(new) > KEPT:
+            self.place, new = {}, distinct
+            if len(new) > len(self.sums):
+                self.sums = np.empty((len(new), 3))
+        if new:
+            at, w, made = len(self.place), self.weights, []
+            self.place.update(zip(new, range(at, at + len(new))))
+            for word in new:
+                (a, b, c, d, e, f, g), before, after = features(word)
+                made.append((w[a] + w[b] + w[c] + w[d] + w[e] + w[f] + w[g], w[before], w[after]))
+            self.sums[at : at + len(made)] = made
+        return self.sums[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))]
 
     def probabilities(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Of each token of each text."""
@@ -191,8 +195,8 @@ def fit_field(segments: list[list[str]], tags: list[list[int]], steps: int = STE
     first[np.cumsum([0, *map(len, segments[:-1])])] = True
     distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
     ids = np.fromiter(map(distinct.__getitem__, words), np.int64, len(words))
-    own = np.array([own_features(w) for w in distinct])
-    near = np.array([neighbour_features(w) for w in distinct])
+    placed = [features(w) for w in distinct]
+    own, near = np.array([p[0] for p in placed]), np.array([p[1:] for p in placed])
     own_at, before_at, after_at = own[ids], near[ids[:-1], 0], near[ids[1:], 1]
     inside = ~first[1:]
     weights, trans, start = np.zeros(TABLE), np.zeros((2, 2)), np.zeros(2)
