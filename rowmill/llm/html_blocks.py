@@ -6,8 +6,11 @@ import html
 import re
 from dataclasses import dataclass
 
-#: Elements whose content is never text of a page.
-RAW = "script|style|noscript|template|textarea|select|svg|iframe|object|head"
+#: Elements whose content is never text of a page. All that may stand in a head is of these or void, so a head needs no end tag: other content ends it.
+RAW = "script|style|noscript|noframes|template|textarea|select|iframe|object|title"
+#: HTML elements whose start tag ends an open <svg>, and the parts of an <svg> in which they don't.
+BREAKS_SVG = "b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre|ruby|s|small|span|strong|strike|sub|sup|table|tt|u|ul|var"
+HTML_IN_SVG = frozenset("foreignobject desc title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag closes an open element of these kinds, up to the nearest element of the second list.
@@ -21,6 +24,8 @@ _TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.DOTALL | re.IGNORECASE,
 )
+_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
+_BREAKS = re.compile(BREAKS_SVG)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[a-z0-9]+")
 
@@ -40,10 +45,34 @@ def names_of(tag: str, attrs: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def svg_end(source: str, at: int, open_: set[str]) -> int:
+    """Where the content of an <svg> that starts at ``at`` ends: after its end tag, or before the tag that shows that it has none."""
+    own, inside = ["svg"], 0
+    for m in _TAG.finditer(source, at):
+        tag = (m["tag"] or "").lower()
+        if not tag:
+            continue
+        if not m["end"]:
+            if not inside and _BREAKS.fullmatch(tag):
+                return m.start()
+            if not m["attrs"].endswith("/"):
+                own.append(tag)
+                inside += tag in HTML_IN_SVG
+        elif tag in own:
+            k = len(own) - 1 - own[::-1].index(tag)
+            inside -= sum(t in HTML_IN_SVG for t in own[k:])
+            del own[k:]
+            if not own:
+                return m.end()
+        elif not inside and (tag in open_ or tag in INLINE or tag == "p"):
+            return m.start()
+    return len(source)
+
+
 def blocks(source: str) -> list[Block]:
     """Blocks with text in page order: character references decoded, white space as single spaces, trimmed.
 
-    Comments, raw elements and the head are left out; unclosed elements end with their parent; stray end tags are ignored.
+    Comments, raw elements, pictures and what stands in the head are left out; unclosed elements end with their parent; stray end tags are ignored.
     """
     found: list[Block] = []
     open_: list[tuple[str, tuple[str, ...]]] = []
@@ -67,7 +96,7 @@ def blocks(source: str) -> list[Block]:
                 del open_[k:]
                 return
 
-    for m in _TOKEN.finditer(source):
+    while m := _TOKEN.search(source, at):
         if m.start() > at:
             parts.append(source[at : m.start()])
             if depth:
@@ -77,6 +106,12 @@ def blocks(source: str) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
+        if tag == "head":
+            continue
+        if tag == "svg":
+            if not m["end"] and not m["attrs"].endswith("/"):
+                at = svg_end(source, at, {name for name, _ in open_})
+            continue
         if tag in INLINE:
             if tag == "a":
                 depth = 0 if m["end"] else 1

@@ -78,3 +78,25 @@ def test_long_page_and_empty_table(spark, tmp_path):
     assert hx.extracted_pages(spark, str(tmp_path)).first().text.count("\n") == 4999
     save(spark.createDataFrame([], schema), tmp_path, "pages")
     assert hx.extracted_pages(spark, str(tmp_path)).count() == 0
+
+
+def test_head_without_end_tag():
+    head = "<!DOCTYPE html><html><head><meta charset=utf-8><title>T <b></title><style>p{}</style><link rel=x>"
+    for source in (head + "<body><article><p>One<p>Two", head + "<article><p>One</p><p>Two</p></article>", head + "</head><body><p>One<p>Two</body>"):
+        assert [b.text for b in blocks(source)] == ["One", "Two"], source
+    assert [b.text for b in blocks(head + "Loose words<p>Two")] == ["Loose words", "Two"]
+    assert [b.text for b in blocks("<title>T</title><p>One")] == ["One"]
+
+
+def test_svg_without_end_tag():
+    for svg in ("<svg/>", "<svg class='a>b' />", "<svg><path d='M0'/></svg>", "<svg><text>t</text><svg/><svg></svg><text>u</text></svg>", "<svg><path d='M0'>",
+                "<svg><foreignObject><p>t</p></foreignObject></svg>", "<svg><title>t</title><a>u</a></svg>"):
+        assert [b.text for b in blocks(f"<article><p>One {svg}</p><p>Two</p></article><p>Three")] == ["One", "Two", "Three"], svg
+    assert [b.text for b in blocks("<div><a href=x><svg><path></a> One</div>Two<svg>lost")] == ["One", "Two"]
+
+
+def test_op1_reads_pages_with_open_heads_and_pictures(spark, tmp_path, pages):
+    given = [(h.replace("</head>", "").replace("</h1>", "</h1><svg class='icon'/>"), t) for h, t in pages]
+    save(spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(given)], "page_id bigint, url string, html string"), tmp_path, "pages")
+    got = {r.page_id: r.text for r in hx.extracted_pages(spark, str(tmp_path)).collect()}
+    assert got == {i: t for i, (_, t) in enumerate(given)}
