@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -250,11 +250,22 @@ def varied(page: list[Block], pool: list[Block], rng: np.random.Generator) -> li
     return out
 
 
+def chosen(key: str, html: str, share: float) -> Column:
+    """True for about this share of the rows, however small: by 62 bits of a hash of id and page."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string"), F.col(html).cast("string")), 2) < F.lit(int(share * (1 << 62)))
+
+
+def _with_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([bool(blocks(v.as_py() or "")) for v in batch.column(0)], pa.bool_()))
+
+
 def train(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = TRAIN_PAGES) -> Labeller | None:
-    """The labeller, or None if the pages sampled have no text."""
-    share = min(1.0, sample / max(1, pages.count()))
-    chosen = pages.where(F.coalesce(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1_000_000)), F.lit(0)) < int(share * 1_000_000)).select(F.col(html).cast("string"))
-    parsed = [b for (source,) in chosen.orderBy(F.xxhash64(html), html).limit(2 * sample).collect() if (b := blocks(source or ""))]
+    """The labeller, or None if no page has text. If no sampled page has text, the sample is taken from all pages that have some."""
+    source = F.col(html).cast("string").alias("html")
+    read = lambda some: [b for (page,) in some.orderBy(F.xxhash64("html"), "html").limit(2 * sample).collect() if (b := blocks(page or ""))]
+    parsed = read(pages.where(chosen(key, html, min(1.0, sample / max(1, pages.count())))).select(source))
+    parsed = parsed or read(pages.select(source).mapInArrow(_with_blocks, "html string"))
     if not parsed:
         return None
     rng = np.random.default_rng(SEED)
@@ -265,9 +276,13 @@ def train(pages: DataFrame, key: str = "page_id", html: str = "html", sample: in
 
 
 def texts(model: Labeller | None, sources: list[str]) -> list[str]:
-    """The main text of each page."""
+    """The main text of each page. Without a labeller no page may have text: none is given an empty text unread."""
     parsed = [blocks(s) for s in sources]
-    kept = label_pages(model, [vectors(page) for page in parsed]) if model else [np.zeros(len(page)) for page in parsed]
+    if model is None:
+        if any(parsed):
+            raise ValueError("pages with text need a labeller")
+        return [""] * len(parsed)
+    kept = label_pages(model, [vectors(page) for page in parsed])
     return ["\n".join(b.text for b, p in zip(page, ps, strict=True) if p >= 0.5) for page, ps in zip(parsed, kept, strict=True)]
 
 

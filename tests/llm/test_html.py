@@ -100,3 +100,24 @@ def test_op1_reads_pages_with_open_heads_and_pictures(spark, tmp_path, pages):
     save(spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(given)], "page_id bigint, url string, html string"), tmp_path, "pages")
     got = {r.page_id: r.text for r in hx.extracted_pages(spark, str(tmp_path)).collect()}
     assert got == {i: t for i, (_, t) in enumerate(given)}
+
+
+def test_sample_of_a_huge_table_is_not_empty(spark, monkeypatch, pages):
+    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(pages)] + [(-1, None)], "page_id bigint, html string")
+    monkeypatch.setattr(type(rows), "count", lambda self: 10**12)
+    monkeypatch.setattr(hx, "fit", lambda given, labels: (len(given), len(labels)))
+    assert hx.train(rows)[0] >= 3 * len(pages)
+    assert hx.train(rows.where("html is null")) is None
+
+
+def test_small_shares_are_kept(spark):
+    rows = spark.range(20_000_000).selectExpr("id as page_id", "'x' as html")
+    assert 100 < rows.where(hx.chosen("page_id", "html", 9e-6)).count() < 270
+    assert 2 <= rows.where(hx.chosen("page_id", "html", 5e-7)).count() < 30
+    assert rows.limit(1000).where(hx.chosen("page_id", "html", 1.0)).count() == 1000
+
+
+def test_pages_with_text_need_a_labeller():
+    assert hx.texts(None, ["", "<p> </p>"]) == ["", ""]
+    with pytest.raises(ValueError):
+        hx.texts(None, ["<p>x"])
