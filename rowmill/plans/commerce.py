@@ -173,8 +173,8 @@ def stock_after(t):
 
 @query("ap_10_pair_reservation", "AP-10")
 def pair_reservation(t):
-    """Orders that need two products at once: both or none."""
-    legs = t.lineitem.filter("l_linenumber <= 2").select(
+    """Orders that need several products at once: all lines or none. ``settle`` sums the lines of an order that name the same product."""
+    legs = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("account"), (-F.col("l_quantity").cast("bigint")).alias("delta"))
     stock = inventory(t).select(F.col("product_id").alias("account"), (F.col("stock") * 4).alias("stock"), F.lit(0).alias("floor"))
     return allocation.settle(legs, stock, "order_id", ["order_id"], "stock", "floor")

@@ -106,3 +106,26 @@ def test_all_or_nothing_pair(spark):
     legs = spark.createDataFrame([(1, 1, -3), (1, 2, -2), (2, 1, -4), (2, 2, -1)], "id long, account long, delta long")
     got = {r.id: r.accepted for r in allocation.settle(legs, stock, "id", ["id"], "stock", "floor").collect()}
     assert got == {1: False, 2: True}
+
+
+def test_pair_reservation_holds_all_lines(spark, tmp_path):
+    from rowmill.plans import load_catalog
+    from rowmill.plans.registry import runner
+
+    rng = random.Random(11)
+    lines = [(o, n, rng.randint(1, 9), float(rng.randint(1, 40))) for o in range(120) for n in range(1, rng.randint(2, 8))]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p, f"part {p}") for p in range(1, 9)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    left, want = {p: p * 37 % 101 * 4 for p in range(1, 9)}, {}
+    for o in sorted({line[0] for line in lines}):
+        need = {}
+        for order, _, p, q in lines:
+            if order == o:
+                need[p] = need.get(p, 0) + int(q)
+        want[o] = all(left.get(p, -1) >= q for p, q in need.items())
+        if want[o]:
+            for p, q in need.items():
+                left[p] -= q
+    assert any(len([x for x in lines if x[0] == o]) > 2 for o, ok in want.items() if ok)
+    got = {r.order_id: r.accepted for r in runner(load_catalog()["ap_10_pair_reservation"])(spark, str(tmp_path)).collect()}
+    assert got == want
