@@ -5,8 +5,10 @@ the one before, the new part is the new turn's span; where it doesn't, the templ
 place is found by rendering two other texts, "a" and "b", in its stead: what all such outputs share at both ends is the template's own. Texts under the loss mask
 are those of ``LOSS_ROLES``.
 
-Prefixes cost the square of the number of turns, so a conversation is rendered in slices of SLICE turns; slices, not conversations, are dealt out to the tasks.
-At each cut inside a slice of rows it is checked that the turns on both sides render alike together and apart; a template that fails is reported like one that rewrites history.
+Prefixes cost the square of the number of turns. A template of TURNWISE, which renders each turn alike whatever stands before it, is therefore applied to slices of
+SLICE turns; slices, not conversations, are dealt out to the tasks. At every cut, inside a slice of rows and between slices, it is checked that the turns on both sides
+render alike together and apart; a template that fails is reported like one that rewrites history. This check sees two turns: it can't show what depends on more of them.
+So any other template is rendered for all prefixes of whole conversations, each in one task, at that cost, unless the caller says that it is turnwise (``whole=False``).
 Digests are sequential by nature, so the slices of one conversation are read by one task, in order, as a stream: it holds one slice at a time.
 
 ``marked`` is the template here: ``### Role: text</turn>`` and a line end. In texts, a backslash goes before each backslash, inside ``</turn>`` and between the signs of
@@ -19,10 +21,11 @@ own; repeated rows are turns of their own; turns and conversations of any length
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmill.llm.common import query, table
+from rowmill.operators.ordered import framed
 
 SLICE = 64
 LOSS_ROLES = frozenset({"assistant"})
@@ -55,6 +59,9 @@ def marked(turns: list[Turn]) -> str:
     return "".join(f"### {head(role)}: {escape(text)}</turn>\n" for role, text in turns)
 
 
+#: Templates that render each turn alike whatever stands before it.
+TURNWISE = frozenset({marked})
+
 _TURN = re.compile(r"### ((?:\\.|[^\\:])*): (.*?)</turn>\n", re.DOTALL)
 
 
@@ -104,7 +111,7 @@ def _out(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def _cut(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
+def _cut(rows: Iterator[tuple], size: float) -> Iterator[list[tuple]]:
     part: list[tuple] = []
     for row in rows:
         part.append(row)
@@ -115,28 +122,47 @@ def _cut(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
         yield part
 
 
-def format_conversations(df: DataFrame, template: Template = marked, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def _last_turns(rows: DataFrame, conv: str) -> DataFrame:
+    """The last row of each slice, as a row of the next slice of its conversation."""
+    ends = rows.groupBy(conv, "slice").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
+    ends = framed(ends, [conv], ["slice"], {"next": lambda w: F.lead("slice").over(w)}, after=1)
+    return ends.where(F.col("next").isNotNull()).select(conv, F.col("next").alias("slice"), "last.turn", "last.role", "last.text")
+
+
+def format_conversations(df: DataFrame, template: Template = marked, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", whole: bool | None = None) -> DataFrame:
     """(conv, slice, part, n_turns, formatted, spans, rewrites): a row for each slice of at most SLICE turns, in order of (slice, part).
 
     ``spans`` are character offsets in ``formatted`` with a loss flag for each turn; ``rewrites`` is true if the template changed what it had shown.
+    With ``whole`` (as usual unless the template is of TURNWISE), a conversation is one slice of all its turns.
     """
+    whole = template not in TURNWISE if whole is None else whole
     names = [conv, "slice", "part", "n_turns", "formatted", "spans", "rewrites"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), _SPANS, pa.bool_()]
 
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (conversation, number), rows in groupby(_rows(batches), key=lambda r: (r[0], r[1])):
             last: Turn | None = None
-            for part, some in enumerate(_cut(rows, SLICE)):
-                turns = [(r[3] or "", r[4] or "") for r in some]
+            first = next(rows)
+            if first[2]:
+                rows = chain([first], rows)
+            else:
+                last = (first[4] or "", first[5] or "")
+            for part, some in enumerate(_cut(rows, math.inf if whole else SLICE)):
+                turns = [(r[4] or "", r[5] or "") for r in some]
                 shown, spans, rewriting = locate(turns, template)
                 changed = rewriting >= 0 or (last is not None and template([last, turns[0]]) != template([last]) + template([turns[0]]))
                 flagged = [dict(zip(("start", "text_start", "text_stop", "stop"), s), loss=t[0] in LOSS_ROLES) for s, t in zip(spans, turns)]
                 yield _out([(conversation, number, part, len(turns), shown, flagged, changed)], names, types)
                 last = turns[-1]
 
-    slices = F.coalesce(F.floor(F.col(turn) / SLICE), F.lit(-(1 << 62))).cast("bigint")
-    rows = df.select(F.col(conv).cast("bigint").alias(conv), slices.alias("slice"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
-    dealt = rows.repartition(conv, "slice").sortWithinPartitions(conv, "slice", "turn", "role", "text")
+    slices = F.lit(0) if whole else F.coalesce(F.floor(F.col(turn) / SLICE), F.lit(-(1 << 62)))
+    rows = df.select(
+        F.col(conv).cast("bigint").alias(conv), slices.cast("bigint").alias("slice"), F.lit(True).alias("own"),
+        F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"),
+    )
+    if not whole:
+        rows = rows.unionByName(_last_turns(rows, conv).withColumn("own", F.lit(False)))
+    dealt = rows.repartition(conv, "slice").sortWithinPartitions(conv, "slice", "own", "turn", "role", "text")
     schema = T.StructType([T.StructField(c, T.LongType()) for c in names[:4]] + [T.StructField("formatted", T.StringType()), T.StructField("spans", SPANS), T.StructField("rewrites", T.BooleanType())])
     return dealt.mapInArrow(rendered, schema)
 

@@ -69,6 +69,29 @@ def test_slices_show_a_template_that_looks_back(spark, monkeypatch):
     assert rows == {1: True, 2: True}
 
 
+def test_templates_that_look_back_over_slices(spark):
+    def joining(given):
+        return "|".join(t for _, t in given)
+
+    def shortening(given):
+        return "".join(f"{t if len(given) <= 70 or k > len(given) - 70 else t[:1]};" for k, (_, t) in enumerate(given))
+
+    df = spark.createDataFrame([(c, k * (1 + 99 * (c == 3)), "user", f"t{k}") for c, n in [(1, 200), (2, 60), (3, 10)] for k in range(n)], SCHEMA)
+    turns = {c: [("user", f"t{k}") for k in range(n)] for c, n in [(1, 200), (2, 60), (3, 10)]}
+    for template, rewriting in ((joining, set()), (shortening, {1})):
+        rows = chat.format_conversations(df, template).collect()
+        assert {r.conv_id: r.formatted for r in rows} == {c: template(t) for c, t in turns.items()} and len(rows) == 3
+        assert {r.conv_id for r in rows if r.rewrites} == rewriting
+    for template in (joining, lambda g: "<s>" + chat.marked(g)):
+        rows = sorted(chat.format_conversations(df, template, whole=False).collect())
+        assert [r.rewrites for r in rows if r.conv_id == 1] == [False, True, True, True]
+        assert [r.rewrites for r in rows if r.conv_id == 2] == [False]
+        assert [r.rewrites for r in rows if r.conv_id == 3] == [False] + [True] * 9
+    rows = sorted(chat.format_conversations(df).collect())
+    assert len(rows) == 15 and not any(r.rewrites for r in rows)
+    assert "".join(r.formatted for r in rows if r.conv_id == 1) == chat.marked(turns[1])
+
+
 def test_empty_table(spark, tmp_path):
     save(spark.createDataFrame([], SCHEMA), tmp_path, "conversations")
     rows = chat.formatted_conversations(spark, str(tmp_path)).collect()
