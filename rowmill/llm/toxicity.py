@@ -43,7 +43,6 @@ STEPS = 40
 ROW = 256
 MAX_DOCUMENTS = 40_000
 MAX_SEGMENTS_OF = 2_500
-MAX_WORDS = 20_000
 HELD_OUT = 0
 THRESHOLD = 0.5
 KEPT = 1 << 19
@@ -255,6 +254,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *[pa.array([c[w] for w in words], pa.int64()) for c in counts]], names=["word", "clean", "toxic"])
 
 
+def _sampled(text: str, share: float) -> bool:
+    return zlib.crc32(text.encode()) % 10_007 < share * 10_007
+
+
+def _sampled_words(share: dict[int, float]):
+    """The words of the toxic documents from which segments are cut: no other word's support is asked for."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words: set[str] = set()
+            for y, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py() or ""
+                if y and _sampled(text, share[1]):
+                    words.update(map(plain, set(text.split())))
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], names=["word"])
+
+    return read
+
+
 def _segments(support: dict[str, int], share: dict[int, float]):
     """Tagged segments of sampled documents, chosen by a checksum of the text."""
 
@@ -265,7 +283,7 @@ def _segments(support: dict[str, int], share: dict[int, float]):
                 text = value.as_py() or ""
                 seed = zlib.crc32(text.encode())
                 tokens = text.split()
-                if not tokens or seed % 10_007 >= share[int(y)] * 10_007:
+                if not tokens or not _sampled(text, share[int(y)]):
                     continue
                 rng = np.random.default_rng(seed)
                 known = [support.get(plain(w), 0) if y else 0 for w in tokens]
@@ -289,9 +307,9 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
         return Model(None, np.array([toxic / max(1, clean + toxic)]))
     counts = rows.mapInArrow(_word_counts, "word string, clean bigint, toxic bigint").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.ln((F.col("toxic") + 0.5) / (toxic + 1)) - F.ln((F.col("clean") + 0.5) / (clean + 1))
-    chosen = counts.where((F.col("toxic") >= 2) & (odds > 3)).orderBy(F.desc("toxic"), "word").limit(MAX_WORDS)
-    support = dict(chosen.select("word", "toxic").collect())
     share = {0: max_segments_of / clean, 1: max_segments_of / toxic}
+    chosen = counts.where((F.col("toxic") >= 2) & (odds > 3)).join(rows.mapInArrow(_sampled_words(share), "word string").distinct(), "word", "left_semi")
+    support = dict(chosen.select("word", "toxic").collect())
     cut = rows.mapInArrow(_segments(support, share), "words array<string>, tags array<int>").collect()
     cut.sort()
     field = fit_field([r.words for r in cut], [r.tags for r in cut])

@@ -160,3 +160,17 @@ def test_keep_passing_keeps_columns(spark, folder):
     kept = quality_rules.keep_passing(df)
     assert kept.columns == df.columns and kept.count() == sum(corpus()[1])
     assert quality_rules.judge(df.limit(0)).count() == 0
+
+
+def test_rare_toxic_words_of_a_wide_vocabulary_are_tagged(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: "q" + "".join(letters[k // 26**i % 26] for i in range(4))
+    toxic = [(i, " ".join(word(700 * (i // 5) + j) for j in range(700))) for i in range(165)]
+    rows = toxic + [(1000 + i, f"good words here {word(400_000 + i)}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 0, int(i < 1000)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_field", lambda segments, tags: seen.extend(zip(segments, tags)) or toxicity.Field(np.zeros(toxicity.TABLE), np.zeros((2, 2)), np.zeros(2)))
+    toxicity.train(docs, labels)
+    marks = [t for s, tags in seen for w, t in zip(s, tags) if w.startswith("q") and len(s) > 4]
+    assert len(marks) > 5000 and all(marks)
