@@ -84,8 +84,11 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_
     """
     ids = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (id_remainder(F.col(key), divisor) != held_out))
     ids = ids.groupBy(F.col(key).alias("_id")).agg(F.min(label).cast("double").alias("y"))
-    share = int(min(1.0, max_labels / max(1, ids.count())) * 1_000_000)
-    chosen = ids.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < share)
+    n = ids.count()
+    share = min(1.0, max_labels / max(1, n))
+    chosen = ids.where(F.shiftrightunsigned(F.xxhash64("_id"), 2) < int(share * 2**62))
+    if n and share < 1 and not chosen.head(1):
+        raise ValueError(f"none of {n} labelled ids falls into the sample of about {max_labels}")
     rows = docs.select(docs[key].alias("_key"), docs[text].cast("string").alias("text"))
     return rows.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).select(id_remainder(F.col("_key"), divisor).alias("fold"), "y", "text")
 

@@ -174,3 +174,17 @@ def test_rare_toxic_words_of_a_wide_vocabulary_are_tagged(spark, monkeypatch):
     toxicity.train(docs, labels)
     marks = [t for s, tags in seen for w, t in zip(s, tags) if w.startswith("q") and len(s) > 4]
     assert len(marks) > 5000 and all(marks)
+
+
+def test_a_huge_label_table_never_gives_a_silent_empty_sample(spark, folder, monkeypatch):
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    real = type(docs).count
+    monkeypatch.setattr(type(docs), "count", lambda self: 10**12)
+    with pytest.raises(ValueError):
+        quality_classifier.labelled(docs, labels, "quality", 4, 2, 200_000)
+    with pytest.raises(ValueError):
+        toxicity.train(docs, labels)
+    monkeypatch.setattr(type(docs), "count", lambda self: 10**8)
+    ids = spark.range(4_000_000).selectExpr("id as doc_id", "1 as quality")
+    rows = quality_classifier.labelled(ids.selectExpr("doc_id", "'x' as text"), ids, "quality", 4, 2, 50)  # a share of 5e-7
+    assert 0 < real(rows) < 12
