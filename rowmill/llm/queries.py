@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from rowmill.llm import bpe, chat, decontamination, html_extraction, lexical_search, near_dedup, quality_classifier, quality_rules, sharding, token_counts, toxicity, whitening  # noqa: F401
+from rowmill.llm import bpe, chat, decontamination, html_extraction, lexical_search, near_dedup, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, toxicity, whitening  # noqa: F401
 from rowmill.llm.common import QUERIES, SQL  # noqa: F401
