@@ -12,10 +12,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from rowmill.operators import joins
+from rowmill.operators.components import components
 from rowmill.operators.joins import skew_join
-from rowmill.operators.ordered import names, plan_slices, running_sums, sort_keys
+from rowmill.operators.ordered import names, number_rows, plan_slices, running_sums, sort_keys
 from rowmill.session import forget, materialize
 
+FOLD_ROWS = 500_000  # open legs that are few enough for one task
+
 
 def allocate(requests: DataFrame, stock: DataFrame, product: str, order: list[str], qty: str, level: str = "stock") -> DataFrame:
     """Add ``accepted``: a request is served if the stock left is at least its quantity; refused ones use nothing.
@@ -127,7 +131,62 @@ def post_unchecked(legs: DataFrame, accounts: DataFrame, order: list[str], balan
     return rows.withColumn("balance_after", after).withColumn("overdrawn", after < floor).drop("_moved")
 
 
-def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], balance: str, floor: str, active: str | None = None) -> DataFrame:
+def _replay(legs: DataFrame, ident: str, order: list[str], group: str) -> DataFrame:
+    """(ident, accepted) of open legs, request after request; each group, which shares no account with another, in one task."""
+    here = legs.schema[ident]
+
+    def judge(batches):
+        current, now, parts, moved = None, None, [], {}
+
+        def verdict():
+            for account, delta, debit, base, floor in parts:
+                if debit < 0 and base + moved.get(account, 0) + debit < floor:
+                    return False
+            for account, delta, *_ in parts:
+                moved[account] = moved.get(account, 0) + delta
+            return True
+
+        for pdf in batches:
+            out = []
+            for name, request, *leg in zip(*(pdf[c].tolist() for c in (group, ident, "account", "delta", "_debit", "_base", "_floor"))):
+                if parts and (request != now or name != current):
+                    out.append((now, verdict()))
+                    parts = []
+                if name != current:
+                    current, moved = name, {}
+                now = request
+                parts.append(leg)
+            yield pd.DataFrame(out, columns=[ident, "accepted"])
+        if parts:
+            yield pd.DataFrame([(now, verdict())], columns=[ident, "accepted"])
+
+    schema = StructType([here, StructField("accepted", BooleanType())])
+    return legs.repartition(group).sortWithinPartitions(group, *sort_keys(order), "account").mapInPandas(judge, schema)
+
+
+def _replay_apart(legs: DataFrame, ident: str, order: list[str]) -> DataFrame:
+    """(ident, accepted) of the open legs, each component of the conflict graph (accounts linked by a request) in a task of its own.
+
+    Of a component with more legs than a task may take, only its first requests are judged: they depend on nothing else.
+    """
+    least = legs.groupBy(ident).agg(F.min("account").alias("b"))
+    links = skew_join(legs.select(ident, F.col("account").alias("a")), least, [ident]).filter("a <> b").select("a", "b").distinct()
+    roots = components(links)
+    named = skew_join(legs, roots.select(F.col("a").alias("account"), F.col("b").alias("_root")), ["account"], "left")
+    named = materialize(named.withColumn("_root", F.coalesce("_root", "account")))
+    forget(roots)
+    sizes = named.groupBy("_root").agg(F.count("*").alias("_n"))
+    big = materialize(sizes.filter(F.col("_n") > joins.TASK_ROWS).select("_root"))
+    judged = _replay(named.join(big, "_root", "left_anti"), ident, order, "_root")
+    if big.isEmpty():
+        return judged
+    placed = number_rows(named.join(big, "_root", "left_semi"), ["_root"], [*order, "account"], "_place")
+    early = placed.groupBy(ident).agg(F.max("_place").alias("_place")).filter(F.col("_place") <= joins.TASK_ROWS).select(ident)
+    return judged.unionByName(_replay(placed.join(early, ident, "left_semi").drop("_place"), ident, order, "_root"))
+
+
+def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], balance: str, floor: str, active: str | None = None,
+           trace: list[tuple[str, int]] | None = None) -> DataFrame:
     """Accept or refuse each request, a set of legs that stand or fall together, in order.
 
     A request is accepted if each account it debits stays at or above
@@ -135,13 +194,17 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
     unknown account are refused, and so are those that touch an account whose
     column ``active`` is not true. ``ident`` names the request and ends ``order``.
 
-    Each round brackets the balance before every open request between the
+    A bracket round bounds the balance before every open request between the
     outcomes where all, or none, of the open earlier debits happen (and the
     reverse for credits). Requests that pass even at the lower end are
     accepted, those that fail even at the upper end are refused; the rest stay
     open. The first open request has an exact balance, so every round makes
-    progress, and only open legs are carried on: their tables get smaller, and
-    no task ever takes all of them.
+    progress, and only open legs are carried on. Open legs that one task may
+    take (FOLD_ROWS) are judged one after another there. Where a round leaves
+    more than half of the legs open, the next one replays the components of
+    their conflict graph, each in a task, instead.
+
+    ``trace`` receives a line for each round: its kind, and the legs open after it.
     """
     if active is not None:
         balances = balances.filter(F.col(active))
@@ -152,7 +215,8 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
     unknown = net.filter(F.col("_base").isNull()).select(ident).distinct()
     done = [unknown.withColumn("accepted", F.lit(False))]
     rows = net.join(unknown, ident, "left_anti").withColumn("_sure", F.lit(False))
-    kept = None
+    kept, opened, kind = None, net.count(), "bracket"
+    trace = [] if trace is None else trace
     while True:
         run = running_sums(rows, ["account"], order, {
             "_known": F.when(F.col("_sure"), F.col("delta")).otherwise(0),
@@ -161,16 +225,28 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
         still = run.filter(~F.col("_sure")).withColumns({
             "_base": F.col("_base") + F.col("_known"),
             "_down": F.col("_down") - F.least("delta", F.lit(0)), "_up": F.col("_up") - F.greatest("delta", F.lit(0))})
+        if trace and opened <= min(FOLD_ROWS, joins.TASK_ROWS):
+            done.append(materialize(_replay(still.withColumn("_root", F.lit(0)), ident, order, "_root")))
+            trace.append(("fold", 0))
+            break
         still = materialize(still.drop("_known", "_sure"))
         if kept is not None:
             forget(kept)
         kept = still
-        safe = (F.col("_debit") >= 0) | (F.col("_base") + F.col("_down") + F.col("_debit") >= F.col("_floor"))
-        hopeless = (F.col("_debit") < 0) & (F.col("_base") + F.col("_up") + F.col("_debit") < F.col("_floor"))
-        verdict = materialize(still.groupBy(ident).agg(F.bool_and(safe).alias("_yes"), F.bool_or(hopeless).alias("_no")))
-        done.append(verdict.filter("_yes OR _no").select(ident, F.col("_yes").alias("accepted")))
-        if verdict.filter("NOT _yes AND NOT _no").isEmpty():
+        if kind == "bracket":
+            safe = (F.col("_debit") >= 0) | (F.col("_base") + F.col("_down") + F.col("_debit") >= F.col("_floor"))
+            hopeless = (F.col("_debit") < 0) & (F.col("_base") + F.col("_up") + F.col("_debit") < F.col("_floor"))
+            verdict = still.groupBy(ident).agg(F.bool_and(safe).alias("_yes"), F.bool_or(hopeless).alias("_no"))
+            verdict = materialize(verdict.filter("_yes OR _no").select(ident, F.col("_yes").alias("accepted")))
+        else:
+            verdict = materialize(_replay_apart(still.drop("_down", "_up"), ident, order))
+        done.append(verdict)
+        rows = skew_join(still.drop("_down", "_up"), verdict, [ident], "left").filter("accepted IS NULL OR accepted")
+        rows = rows.withColumn("_sure", F.col("accepted").isNotNull()).drop("accepted")
+        before, opened = opened, rows.filter(~F.col("_sure")).count()
+        trace.append((kind, opened))
+        if not opened:
             break
-        rows = skew_join(still.drop("_down", "_up"), verdict, [ident]).filter("NOT _no")
-        rows = rows.withColumn("_sure", F.col("_yes")).drop("_yes", "_no")
+        # A component round is followed by a bracket round: it may have left a request with more legs than a task takes.
+        kind = "components" if kind == "bracket" and 2 * opened > before else "bracket"
     return reduce(DataFrame.unionByName, done)

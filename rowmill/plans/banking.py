@@ -14,6 +14,14 @@ MOVES = """mv AS (SELECT o_orderkey AS txn_id, o_custkey AS src, (o_custkey * 7
     (o_totalprice / 500)::BIGINT AS amount, o_orderdate AS ts FROM orders)"""
 
 
+# One transfer a step, in order; each step carries the balances of all accounts, whose keys are 0, 1, 2, ...
+STEPS = f"""{MOVES}, n AS MATERIALIZED (SELECT *, least(src, dst) AS lo, greatest(src, dst) AS hi, row_number() OVER (ORDER BY ts, txn_id) AS i FROM mv),
+    st AS (SELECT 0::BIGINT AS i, 0::BIGINT AS txn, (SELECT list(floor(c_acctbal)::BIGINT ORDER BY c_custkey) FROM customer) AS held, true AS accepted
+      UNION ALL SELECT n.i, txn_id, CASE WHEN held[src + 1] - amount >= -{CREDIT_LIMIT} THEN
+          held[:lo] || [held[lo + 1] + CASE WHEN lo = src THEN -amount ELSE amount END] || held[lo + 2:hi] || [held[hi + 1] + CASE WHEN hi = src THEN -amount ELSE amount END]
+          || held[hi + 2:] ELSE held END, held[src + 1] - amount >= -{CREDIT_LIMIT} FROM st JOIN n ON n.i = st.i + 1)"""
+
+
 def moves(t):
     n = t.customer.agg(F.count("*")).scalar()
     return t.orders.select(F.col("o_orderkey").alias("txn_id"), F.col("o_custkey").alias("src"),
@@ -42,7 +50,11 @@ def settled(t):
     return legs, allocation.settle(legs, accounts(t), "txn_id", ["ts", "txn_id"], "balance", "floor")
 
 
-@query("ap_12_ledger_sequential", "AP-12")
+@query("ap_12_ledger_sequential", "AP-12", sql=f"""
+    WITH RECURSIVE {STEPS}, l AS (SELECT txn_id, src AS account, 'debit' AS type, -amount AS delta, ts FROM mv UNION ALL SELECT txn_id, dst, 'credit', amount, ts FROM mv)
+    SELECT 'TXN-' || txn_id AS reference_id, account, type, delta, floor(c_acctbal)::BIGINT
+      + (sum(delta) OVER (PARTITION BY account ORDER BY ts, txn_id, type))::BIGINT AS balance_after
+    FROM l JOIN (SELECT txn FROM st WHERE i > 0 AND accepted) ON txn = txn_id JOIN customer ON account = c_custkey""")
 def ledger_sequential(t):
     """Accept or refuse each transfer in order, then post the legs of the accepted ones."""
     legs, verdict = settled(t)
@@ -51,7 +63,8 @@ def ledger_sequential(t):
     return out.select(F.concat(F.lit("TXN-"), "txn_id").alias("reference_id"), "account", "type", "delta", "balance_after")
 
 
-@query("ap_12_transfer_status", "AP-12")
+@query("ap_12_transfer_status", "AP-12", sql=f"""
+    WITH RECURSIVE {STEPS} SELECT txn AS txn_id, CASE WHEN accepted THEN 'success' ELSE 'failed' END AS status FROM st WHERE i > 0""")
 def transfer_status(t):
     return settled(t)[1].select("txn_id", F.when(F.col("accepted"), "success").otherwise("failed").alias("status"))
 

@@ -171,7 +171,15 @@ def stock_after(t):
     return allocation.stock_after(inventory(t), allocated(t), "product_id", "qty").select("product_id", "stock")
 
 
-@query("ap_10_pair_reservation", "AP-10")
+# One order a step; each step carries the stock of all products, whose keys are 0, 1, 2, ...
+@query("ap_10_pair_reservation", "AP-10", sql=f"""
+    WITH RECURSIVE {INVENTORY}, l AS (SELECT l_orderkey AS o, l_partkey + 1 AS p, sum(l_quantity)::BIGINT AS q FROM lineitem GROUP BY 1, 2),
+      n AS MATERIALIZED (SELECT o, row_number() OVER (ORDER BY o) AS i, list(p ORDER BY p) AS ps, list(q ORDER BY p) AS qs FROM l GROUP BY o),
+      st AS (SELECT 0::BIGINT AS i, 0::BIGINT AS o, (SELECT list((stock * 4)::BIGINT ORDER BY product_id) FROM inventory) AS held, true AS accepted
+        UNION ALL SELECT n.i, n.o, CASE WHEN list_bool_and(list_transform(ps, lambda p, k: coalesce(held[p] >= qs[k], false)))
+            THEN list_transform(held, lambda v, k: v - coalesce(qs[list_position(ps, k)], 0)) ELSE held END,
+          list_bool_and(list_transform(ps, lambda p, k: coalesce(held[p] >= qs[k], false))) FROM st JOIN n ON n.i = st.i + 1)
+    SELECT o AS order_id, accepted FROM st WHERE i > 0""")
 def pair_reservation(t):
     """Orders that need several products at once: all lines or none. ``settle`` sums the lines of an order that name the same product."""
     legs = t.lineitem.select(

@@ -1,11 +1,13 @@
 """Allocation, versioned updates and settlement against plain sequential replays, in both forms."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from rowmill.operators import allocation
+from rowmill.operators import allocation, components, joins
+from rowmill.session import shared_folder
 
 
 def replay_allocation(stock, requests):
@@ -129,3 +131,50 @@ def test_pair_reservation_holds_all_lines(spark, tmp_path):
     assert any(len([x for x in lines if x[0] == o]) > 2 for o, ok in want.items() if ok)
     got = {r.order_id: r.accepted for r in runner(load_catalog()["ap_10_pair_reservation"])(spark, str(tmp_path)).collect()}
     assert got == want
+
+
+def settled(spark, transfers, balances, floor, trace):
+    df = spark.createDataFrame([(i, a, b, m) for i, (a, b, m) in enumerate(transfers)], "id long, a long, b long, m long")
+    accounts = spark.createDataFrame([(a, v, floor) for a, v in balances.items()], "account long, balance long, floor long")
+    legs = allocation.transfer_legs(df, "a", "b", "m")
+    return {r.id: r.accepted for r in allocation.settle(legs, accounts, "id", ["id"], "balance", "floor", trace=trace).collect()}
+
+
+def test_a_chain_where_each_request_needs_the_one_before_takes_few_rounds(spark, monkeypatch):
+    """Every account passes on what it just received; every seventh sends too much, after which the next has nothing to send."""
+    balances = {a: 10 if a % 50 == 0 else 0 for a in range(601)}
+    transfers = [(i, i + 1, 99 if i % 7 == 6 else 10) for i in range(600)]
+    want, trace = replay_transfers(balances, transfers, 0)[1], []
+    assert settled(spark, transfers, balances, 0, trace) == want and [k for k, _ in trace] == ["bracket", "fold"]
+    monkeypatch.setattr(allocation, "FOLD_ROWS", 10)
+    trace = []
+    assert settled(spark, transfers, balances, 0, trace) == want
+    assert len(trace) <= 3 and "components" in {k for k, _ in trace}
+    # A component larger than a task: its first requests are judged, round by round, 300 legs at a time.
+    monkeypatch.setattr(joins, "TASK_ROWS", 300)
+    trace = []
+    assert settled(spark, transfers, balances, 0, trace) == want
+    assert len(trace) <= 9
+
+
+@pytest.mark.parametrize("hub", [1000, 3])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB_LINKS", hub)
+    rng = random.Random(hub)
+    links = {(a, b) for a, b in ((rng.randrange(400), rng.randrange(400)) for _ in range(220)) if a != b} | {(7, x) for x in range(400, 460)}
+    root = list(range(460))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    folder = shared_folder(spark)
+    before = len(os.listdir(folder))
+    got = {r.a: r.b for r in components.components(spark.createDataFrame(list(links), "a long, b long")).collect()}
+    assert got == {x: find(x) for x in range(460) if find(x) != x}
+    assert len(os.listdir(folder)) == before + 1
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
