@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowmill.functions.scalar import constant
 from rowmill.operators.joins import skew_join
-from rowmill.session import materialize
-from rowmill.sources.sink import truncate
 
 
 def range_bucket(c: Column, bounds: list[tuple[str, object]], rest: str | None = "p_future") -> Column:
@@ -80,20 +78,6 @@ def read_years(spark: SparkSession, path: str, ts: str, label: str, first: int,
             .filter((F.col(ts) >= constant(lo)) & (F.col(ts) < constant(hi))))
 
 
-def split_catch_all(spark: SparkSession, path: str, label: str, rest: str, relabel: Column) -> None:
-    """Move rows of the catch-all partition to new partitions; other partitions are not touched.
-
-    The moved rows are in their new place before the catch-all is written anew without them, so a failure in between loses no row.
-    """
-    rows = materialize(spark.read.parquet(path).filter(F.col(label) == rest).withColumn(label, relabel))
-    rows.filter(F.col(label) != rest).write.partitionBy(label).mode("append").parquet(path)
-    stay = rows.filter(~F.coalesce(F.col(label) != rest, F.lit(False))).withColumn(label, F.lit(rest))
-    if stay.isEmpty():
-        truncate(spark, path, f"{label}={rest}")
-    else:
-        stay.write.partitionBy(label).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
 def split_archive(df: DataFrame, ts: str, cutoff) -> tuple[DataFrame, DataFrame]:
     """(rows to keep, rows older than the cutoff)."""
     old = F.col(ts) < constant(cutoff)

@@ -26,6 +26,9 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str], update: list[str
            order: list[str] | None = None) -> DataFrame:
     """Insert new keys and overwrite the ``update`` columns of known ones; other columns keep their value.
 
+    A left join with the batch and an anti join for its new keys, which can be broadcast or split where a full outer join cannot;
+    ``sources.versioned`` does the same to a stored table and rewrites only the partitions that the batch hits.
+
     With ``order`` the batch may repeat keys: a new key is inserted from its
     first row and updated from its last. Without it keys must be unique.
     """
@@ -34,17 +37,11 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str], update: list[str
         rows = first_per_key(rows, keys, order).join(last, keys)
         rows = rows.withColumns({c: F.col(f"_u_{c}") for c in update}).drop(*[f"_u_{c}" for c in update])
     values = [c for c in target.columns if c not in keys]
-    src = rows.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in values], F.lit(True).alias("_src"))
-    both = target.withColumn("_tgt", F.lit(True)).join(src, keys, "full")
-    out = []
-    for c in target.columns:
-        if c in keys:
-            out.append(F.col(c))
-        elif c in update:
-            out.append(F.when(F.col("_src"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.when(F.col("_tgt"), F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c))
-    return both.select(*out)
+    new = rows.select(*keys, *values).join(target.select(*keys), keys, "left_anti")
+    src = rows.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in update], F.lit(True).alias("_src"))
+    known = skew_join(target, src, keys, "left")
+    known = known.select(*[F.when(F.col("_src"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in target.columns])
+    return known.unionByName(new)
 
 
 def upsert_add(target: DataFrame, rows: DataFrame, keys: list[str], counter: str) -> DataFrame:

@@ -1,12 +1,17 @@
 """Table changes, bound to the input tables."""
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money
 from rowmill.functions.scalar import start_of
 from rowmill.operators import mutate
 from rowmill.plans.registry import query
+from rowmill.session import materialize, shared_folder
 from rowmill.sources.scan import latest
+from rowmill.sources.versioned import VersionedTable
 
 ORD = ["o_orderkey", "o_orderstatus", "o_totalprice"]
 
@@ -65,6 +70,45 @@ def upsert(t):
     return mutate.upsert(target, batch, ["o_orderkey"], ["o_totalprice"], order=["seq"])
 
 
+SLICES = 64
+STORED = f"""m AS (SELECT max(o_orderkey) + 1 AS n FROM orders), t AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 50 <> 7),
+    b AS (SELECT o_orderkey, 'B' || o_orderstatus AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders, m WHERE o_orderkey * 100 >= n * 99)"""
+
+
+def stored_orders(t):
+    """Orders without some, in a stored table of SLICES ranges of the key, and a batch with the newest hundredth of all."""
+    n = t.orders.agg(F.max("o_orderkey") + 1).scalar()
+    part = F.floor(F.col("o_orderkey") * SLICES / n).cast("int")
+    rows = orders(t).withColumn("part", part)
+    batch = rows.filter(F.col("o_orderkey") * 100 >= n * 99).withColumns(
+        {"o_orderstatus": F.concat(F.lit("B"), "o_orderstatus"), "o_totalprice": F.col("o_totalprice") + 1})
+    table = VersionedTable(t.spark, os.path.join(shared_folder(t.spark), f"orders-by-key-{uuid.uuid4().hex}"), "part")
+    table.create(rows.filter("o_orderkey % 50 <> 7"))
+    return table, batch
+
+
+def stored_files(table):
+    """(part, the names of its files)."""
+    return table.read().groupBy("part").agg(F.array_sort(F.collect_set("_metadata.file_path")).alias("files"))
+
+
+@query("src_11_upsert_stored", "SRC-11", sql=f"""
+    WITH {STORED}, u AS (SELECT coalesce(t.o_orderkey, b.o_orderkey) AS k, CASE WHEN t.o_orderkey IS NULL THEN b.o_orderstatus ELSE t.o_orderstatus END AS s,
+      coalesce(b.o_totalprice, t.o_totalprice) AS p, b.o_orderkey IS NOT NULL AS hit FROM t FULL JOIN b ON t.o_orderkey = b.o_orderkey)
+    SELECT floor(k * {SLICES} / n)::INTEGER AS part, count(*) AS row_count, sum(p::DECIMAL(18,2))::DOUBLE AS total, count_if(s LIKE 'B%')::BIGINT AS inserted,
+      bool_or(hit) AS rewritten FROM u, m GROUP BY 1""")
+def upsert_stored(t):
+    """Upsert into a stored table: ranges without a key of the batch keep their files."""
+    table, batch = stored_orders(t)
+    before = materialize(stored_files(table))
+    table.upsert(batch, ["o_orderkey"], ["o_totalprice"])
+    counts = table.read().groupBy("part").agg(F.count("*").alias("row_count"), F.sum(money("o_totalprice")).cast("double").alias("total"),
+                                              F.count_if(F.col("o_orderstatus").startswith("B")).alias("inserted"))
+    old = before.withColumnRenamed("files", "old")
+    return (counts.join(stored_files(table), "part").join(old, "part", "left")
+            .select("part", "row_count", "total", "inserted", (~F.col("files").eqNullSafe(F.col("old"))).alias("rewritten")))
+
+
 @query("src_12_upsert_add", "SRC-12", sql="""
     SELECT user_id, minute, sum(n)::BIGINT AS n FROM (SELECT user_id, date_trunc('hour', ts) AS minute, count(*) AS n FROM events
       WHERE event_id % 2 = 0 GROUP BY 1, 2 UNION ALL SELECT user_id, date_trunc('hour', ts), 1 FROM events WHERE event_id % 2 = 1) GROUP BY 1, 2""")

@@ -67,6 +67,25 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(where, True)
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not exist yet."""
+    store, where = _folder(spark, path)
+    out = store.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    store, where = _folder(spark, path)
+    source = store.open(where)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table from ``materialize`` that nothing reads any more, as a round's once the next one is written."""
     path = getattr(df, "_stored_at", None)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from rowmill.operators import aggregates, allocation, hierarchy, joins, layout, mutate, paging
+from rowmill.operators import aggregates, allocation, hierarchy, joins, mutate, paging
 from rowmill.plans import load_catalog
 from rowmill.session import materialize, plan_bytes, rows_bound, shared_folder
 
@@ -74,24 +74,6 @@ def test_added_counters_keep_other_columns(spark):
     assert sorted(map(tuple, mutate.upsert_add(target, batch.drop("note"), ["k"], "n").collect())) == [(1, 7, "old"), (2, 1, None), (3, 5, None)]
 
 
-def test_split_loses_no_row_when_the_second_write_fails(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    spark.range(90).withColumn("label", F.when(F.col("id") < 30, "a").otherwise("rest")).write.partitionBy("label").parquet(path)
-
-    def broken(*_):
-        raise OSError("the second write fails")
-
-    monkeypatch.setattr(layout, "truncate", broken)
-    with pytest.raises(OSError):
-        layout.split_catch_all(spark, path, "label", "rest", F.lit("b"))
-    assert spark.read.parquet(path).select("id").distinct().count() == 90
-    monkeypatch.undo()
-    some = str(tmp_path / "s")
-    spark.range(90).withColumn("label", F.lit("rest")).write.partitionBy("label").parquet(some)
-    layout.split_catch_all(spark, some, "label", "rest", F.when(F.col("id") < 40, "b").otherwise("rest"))
-    assert {r.label: r["count"] for r in spark.read.parquet(some).groupBy("label").count().collect()} == {"b": 40, "rest": 50}
-
-
 def test_joined_text_is_one_row_whatever_the_line(spark):
     df = spark.range(2500).select(F.col("id"), (F.col("id") % 2).alias("g"))
     got = {r.g: r.listing for r in aggregates.joined_text(df, ["g"], "id", ["id"], per_line=100).collect()}
