@@ -15,9 +15,10 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from rowmill.operators import joins
 from rowmill.operators.components import components
 from rowmill.operators.joins import skew_join
-from rowmill.operators.ordered import names, number_rows, plan_slices, running_sums, sort_keys
-from rowmill.session import forget, materialize
+from rowmill.operators.ordered import names, number_rows, running_sums, sort_keys
+from rowmill.session import forget, materialize, settled
 
+STEPS = 1000  # versions above a product's first one that get a folder of their own
 FOLD_ROWS = 500_000  # open legs that are few enough for one task
 
 
@@ -25,22 +26,38 @@ def allocate(requests: DataFrame, stock: DataFrame, product: str, order: list[st
     """Add ``accepted``: a request is served if the stock left is at least its quantity; refused ones use nothing.
 
     ``stock`` has one row per product. Requests for an unknown product, and
-    those whose quantity is NULL, zero or negative, are refused.
+    those whose quantity is NULL, zero or negative, are refused. Products with more requests than a task may take go
+    through rounds; all others are served in tasks.
     """
     asked, requests = requests, requests.filter(F.col(qty) > 0)
     rows = skew_join(requests, stock.select(product, F.col(level).alias("_left")), [product], "left")
     rows = rows.withColumn("_left", F.coalesce(F.col("_left"), F.lit(0)).cast("bigint"))
-    rows, slices = plan_slices(rows, [product])
-    if slices:
-        out = _allocate_by_rounds(rows, product, order, qty)
+    never = F.col(qty) > F.col("_left")  # what is left only falls
+    out = [rows.filter(never).withColumn("accepted", F.lit(False))]
+    rows, hot = _hot_products(rows.filter(~never), product)
+    if hot is None:
+        out.append(_allocate_in_tasks(rows, product, order, qty))
     else:
-        out = _allocate_in_tasks(rows, product, order, qty)
-    refused = asked.filter(~F.coalesce(F.col(qty) > 0, F.lit(False))).withColumn("accepted", F.lit(False))
-    return out.select(*asked.columns, "accepted").unionByName(refused)
+        out.append(_allocate_in_tasks(rows.join(F.broadcast(hot), product, "left_anti"), product, order, qty))
+        out.append(_allocate_by_rounds(rows.join(F.broadcast(hot), product, "left_semi"), product, order, qty))
+    out.append(asked.filter(~F.coalesce(F.col(qty) > 0, F.lit(False))).withColumn("accepted", F.lit(False)))
+    return reduce(DataFrame.unionByName, [x.select(*asked.columns, "accepted") for x in out])
+
+
+def _hot_products(rows: DataFrame, product: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows, products with more rows than a task may take, fewer than 1 / HOT_SHARE of them; None if there are none)."""
+    if joins.is_small(rows):
+        return rows, None
+    rows = settled(rows)
+    total, largest = joins.group_sizes(rows, [product])
+    bound = max(joins.TASK_ROWS, int(total * joins.HOT_SHARE))
+    if largest <= bound:
+        return rows, None
+    return rows, materialize(rows.groupBy(product).count().filter(F.col("count") > bound).select(product))
 
 
 def _allocate_in_tasks(rows: DataFrame, product: str, order: list[str], qty: str) -> DataFrame:
-    """Every product fits one task: one pass over the sorted rows, batch by batch."""
+    """Products that fit one task each: one pass over the sorted rows, batch by batch."""
 
     def serve(batches):
         current, left = None, 0
@@ -66,19 +83,25 @@ def _allocate_by_rounds(rows: DataFrame, product: str, order: list[str], qty: st
     least one quantity value: there are at most as many rounds as distinct
     quantities.
     """
-    done = []
+    done, stored = [], []
     pending = materialize(rows)
     while not pending.isEmpty():
         fits = F.col(qty) <= F.col("_left")
         done.append(pending.filter(~fits).withColumn("accepted", F.lit(False)))
         run = materialize(running_sums(pending.filter(fits), [product], order, {"_need": F.col(qty)}))
+        stored += [pending, run]
         served = F.col("_need") <= F.col("_left")
         done.append(run.filter(served).drop("_need").withColumn("accepted", F.lit(True)))
         rest = run.filter(~served)
         used = rest.groupBy(product).agg(F.min(F.col("_need") - F.col(qty)).alias("_used"))
         rest = skew_join(rest, used, [product]).withColumn("_left", F.col("_left") - F.col("_used"))
         pending = materialize(rest.drop("_need", "_used"))
-    return reduce(DataFrame.unionByName, done) if done else pending.withColumn("accepted", F.lit(False))
+    if not done:
+        return pending.withColumn("accepted", F.lit(False))
+    whole = materialize(reduce(DataFrame.unionByName, done))
+    for table in (*stored, pending):
+        forget(table)
+    return whole
 
 
 def stock_after(stock: DataFrame, allocated: DataFrame, product: str, qty: str, level: str = "stock") -> DataFrame:
@@ -93,26 +116,38 @@ def apply_versioned(stock: DataFrame, requests: DataFrame, product: str, order:
     A request applies if its version equals the stored one and the stock
     covers it; that raises the version. Each round applies the first match of
     every product, so there are at most as many rounds as versions asked for.
+
+    A product is in round r only if r requests of its were applied, so only requests r versions above its first one matter then. Requests are
+    stored once, in a folder for each such distance (those from STEPS on share one); a round reads its own folder. Products without a match are done.
     """
-    wanted = materialize(requests.select(product, order, F.col(qty).alias("_qty"), F.col(version).alias("_version")))
-    start = stock.select(product, F.col(version).cast("bigint").alias(version), F.col(level).cast("bigint").alias(level),
-                         F.lit(None).cast("bigint").alias(order))
-    state, applied = materialize(start), []
+    first = stock.select(product, F.col(version).cast("bigint").alias("_from"))
+    asked = skew_join(requests.select(product, order, F.col(qty).alias("_qty"), F.col(version).alias("_version")), first, [product])
+    asked = asked.withColumn("_ahead", F.col("_version") - F.col("_from")).filter("_ahead >= 0")
+    asked = asked.select(product, order, "_qty", "_ahead", F.least("_ahead", F.lit(STEPS)).alias("_step"))
+    wanted = materialize(asked, "_step")
+    live = materialize(stock.select(product, F.col(version).cast("bigint").alias(version), F.col(level).cast("bigint").alias(level),
+                                    F.lit(None).cast(requests.schema[order].dataType).alias("_last")))
+    ended, applied, stored, step = [], [], [wanted, live], 0
     while True:
-        fits = ((F.col("_version") == F.col(version)) & (F.col("_qty") <= F.col(level))
-                & (F.col("_last").isNull() | (F.col(order) > F.col("_last"))))
-        hits = skew_join(wanted, state.withColumnRenamed(order, "_last"), [product]).filter(fits)
-        hits = materialize(hits.groupBy(product).agg(F.min(F.struct(order, "_qty")).alias("h")).select(product, "h.*"))
-        if hits.isEmpty():
+        now = requests_of_round(wanted, step)
+        fits = (F.col("_qty") <= F.col(level)) & (F.col("_last").isNull() | (F.col(order) > F.col("_last")))
+        hits = skew_join(now, live, [product]).filter(fits).groupBy(product).agg(F.min(F.struct(order, "_qty")).alias("_hit"))
+        moved = materialize(live.join(hits, product, "left").select(product, version, level, F.col(f"_hit.{order}").alias(order), F.col("_hit._qty").alias("_qty")))
+        stored.append(moved)
+        ended.append(moved.filter("_qty IS NULL").select(product, version, level))
+        if moved.filter("_qty IS NOT NULL").isEmpty():
             break
-        applied.append(hits.select(product, order))
-        # A product without a match keeps its state: no later request can match it either.
-        moved = state.withColumnRenamed(order, "_last").join(hits, product, "left")
-        state = materialize(moved.select(
-            product, (F.col(version) + F.col("_qty").isNotNull().cast("bigint")).alias(version),
-            (F.col(level) - F.coalesce("_qty", F.lit(0))).alias(level), F.coalesce(order, "_last").alias(order)))
-    empty = wanted.select(product, order).limit(0)
-    return state.select(product, version, level), reduce(DataFrame.unionByName, applied, empty)
+        applied.append(moved.filter("_qty IS NOT NULL").select(product, order))
+        live = moved.filter("_qty IS NOT NULL").select(product, (F.col(version) + 1).alias(version), (F.col(level) - F.col("_qty")).alias(level), F.col(order).alias("_last"))
+        step += 1
+    after, done = materialize(reduce(DataFrame.unionByName, ended)), materialize(reduce(DataFrame.unionByName, applied, asked.select(product, order).limit(0)))
+    for table in stored:
+        forget(table)
+    return after, done
+
+
+def requests_of_round(wanted: DataFrame, step: int) -> DataFrame:
+    return wanted.filter((F.col("_step") == min(step, STEPS)) & (F.col("_ahead") == step)).drop("_step", "_ahead")
 
 
 def transfer_legs(transfers: DataFrame, source: str, target: str, amount: str) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rowmill.operators.joins import skew_join
-from rowmill.operators.ordered import top_rows
+from rowmill.operators.ordered import number_rows, top_rows
 from rowmill.session import materialize
 
 
+BLOCK_ITEMS = 2048  # items of one basket that one task pairs with as many others
 PAIRS_PER_LINE = 10  # up to this many pairs per line, making all of them is cheaper than the bounds below
 
 
@@ -17,7 +18,7 @@ def frequent_pairs(lines: DataFrame, basket: str, item: str, min_count: int, top
 
     Repeated lines are first counted, so a basket holds each item once. If big
     baskets would make too many pairs, items that cannot reach the result are
-    dropped before any pair is made.
+    dropped before any pair is made. Pairs are summed in the tasks that make them.
     """
     lines = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
     counts = materialize(lines.groupBy("basket", "item").agg(F.count("*").alias("m")))
@@ -25,13 +26,33 @@ def frequent_pairs(lines: DataFrame, basket: str, item: str, min_count: int, top
     pairs, rows = sizes.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2), F.sum("k")).first()
     if pairs is not None and pairs > PAIRS_PER_LINE * rows:
         counts = _promising(counts, min_count, top)
-    a = counts.select("basket", F.col("item").alias("item_a"), F.col("m").alias("m_a"))
-    b = counts.select("basket", F.col("item").alias("item_b"), F.col("m").alias("m_b"))
-    found = a.join(b, "basket").filter("item_a < item_b").groupBy("item_a", "item_b").agg(
-        F.sum(F.col("m_a") * F.col("m_b")).alias("together"))
+    found = line_pairs(counts).groupBy("item_a", "item_b").agg(F.sum(F.col("m_a") * F.col("m_b")).alias("together"))
     return found.filter(F.col("together") >= min_count).orderBy(F.desc("together"), "item_a", "item_b").limit(top)
 
 
+def blocked(counts: DataFrame) -> DataFrame:
+    """Add the item's ``block`` in its basket and the basket's number of ``blocks``: at most BLOCK_ITEMS items a block, in the order of the items."""
+    sizes = counts.groupBy("basket").agg(F.count("*").alias("k"))
+    big = materialize(sizes.filter(F.col("k") > BLOCK_ITEMS))
+    small = counts.withColumns({"block": F.lit(0), "blocks": F.lit(1)})
+    if big.isEmpty():
+        return small
+    placed = skew_join(number_rows(skew_join(counts, big.select("basket"), ["basket"], "left_semi"), ["basket"], ["item"], "_n"), big, ["basket"])
+    placed = placed.select(*counts.columns, F.floor((F.col("_n") - 1) / BLOCK_ITEMS).cast("int").alias("block"),
+                           F.ceil(F.col("k") / BLOCK_ITEMS).cast("int").alias("blocks"))
+    return skew_join(small, big.select("basket"), ["basket"], "left_anti").unionByName(placed)
+
+
+def line_pairs(counts: DataFrame) -> DataFrame:
+    """(item_a, m_a, item_b, m_b), item_a < item_b, for distinct (basket, item): the items of a big basket meet block by block, under a key for each pair of blocks."""
+    rows = materialize(blocked(counts))
+    a = rows.select("basket", F.col("item").alias("item_a"), F.col("m").alias("m_a"), F.col("block").alias("low"),
+                    F.explode(F.sequence("block", F.col("blocks") - 1)).alias("high"))
+    b = rows.select("basket", F.col("item").alias("item_b"), F.col("m").alias("m_b"), F.col("block").alias("high"),
+                    F.explode(F.sequence(F.lit(0), "block")).alias("low"))
+    return a.join(b, ["basket", "low", "high"]).filter("item_a < item_b").select("item_a", "m_a", "item_b", "m_b")
+
+
 def _promising(counts: DataFrame, min_count: int, top: int) -> DataFrame:
     """Lines of items that can still be in a result pair, by two exact bounds.
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowmill.operators.joins import skew_join
 from rowmill.session import forget, materialize
 
 
@@ -51,19 +51,29 @@ def exploded_parts(bom: DataFrame, ident: str, parent: str, name: str, quantity:
 def ancestors(nodes: DataFrame, ident: str, parent: str, starts: DataFrame) -> DataFrame:
     """For each id in the one-column frame ``starts``: the node itself (depth 0) and every ancestor.
 
-    More levels than nodes mean a cycle, which is an error.
+    Round k knows all ancestors of the starts nearer than 2^k and, for every node, its 2^k-th ancestor ("jump"). One join of both with the
+    jumps doubles both, so a depth of D takes log2(D) joins; one more adds the columns of the nodes. A start that climbs more levels than there are nodes is
+    in or below a cycle, which is an error.
     """
     most = nodes.count()
-    first = starts.select(F.col(starts.columns[0]).alias("start"))
-    level = materialize(nodes.join(first, F.col(ident) == F.col("start")).withColumn("depth", F.lit(0)))
-    levels = [level]
-    while not level.isEmpty():
-        if len(levels) > most:
+    kind = nodes.schema[ident].dataType
+    first = starts.select(F.col(starts.columns[0]).cast(kind).alias("_start")).select("_start", F.col("_start").alias("_at"), F.lit(0).alias("depth"))
+    jumps = nodes.filter(F.col(parent).isNotNull()).select(F.lit(None).cast(kind).alias("_start"), F.col(ident).alias("_from"), F.col(parent).cast(kind).alias("_at"), F.lit(-1).alias("depth"))
+    state = materialize(first.withColumn("_from", F.lit(None).cast(kind)).unionByName(jumps))
+    length = 1
+    while not state.filter("depth < 0").isEmpty():
+        jump = state.filter("depth < 0").select(F.col("_from").alias("_at"), F.col("_at").alias("_to"))
+        longer = skew_join(state, jump, ["_at"]).select(
+            "_start", "_from", F.col("_to").alias("_at"), F.when(F.col("depth") < 0, -1).otherwise(F.col("depth") + length).alias("depth"))
+        last, state = state, materialize(state.filter("depth >= 0").unionByName(longer))
+        forget(last)
+        length *= 2
+        if length > most and not state.filter(F.col("depth") >= most).isEmpty():
             raise ValueError(f"more than {most} levels: the table has a cycle")
-        links = level.select("start", F.col(parent).alias(ident), (F.col("depth") + 1).alias("depth"))
-        level = materialize(nodes.join(links, ident).select(*levels[0].columns))
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
+        if length > most:
+            break
+    found = state.filter("depth >= 0").select(F.col("_start").alias("start"), F.col("_at").alias(ident), "depth")
+    return nodes.join(found, ident).select(*nodes.columns, "start", "depth")
 
 
 def indented(name: Column, depth: Column, pad: str = "  ") -> Column:

@@ -119,17 +119,24 @@ def round_rule(t):
     UNION ALL SELECT o_custkey, 'round_amount', 'low', json_object('round_count', count(*))::VARCHAR FROM o, m
       WHERE o_totalprice = floor(o_totalprice) AND o_totalprice >= 1000 AND o_orderdate >= d - INTERVAL 900 DAY GROUP BY 1 HAVING count(*) >= 1""")
 def fraud_alerts(t):
-    since = lambda days: latest(t.orders, "o_orderdate", f"{days} DAYS")
-
-    def alerts(df, rule, severity, *fields):
-        return df.select(F.col("o_custkey").alias("account"), F.lit(rule).alias("rule_name"), F.lit(severity).alias("severity"),
-                         json_row(*fields).alias("details"))
-
-    big = large_transactions(done(t), "o_totalprice", 10000, "o_orderdate", since(1))
-    fast = velocity(done(t), "o_custkey", "o_orderdate", "o_totalprice", since(90), 1)
-    whole = round_amounts(done(t), "o_custkey", "o_totalprice", "o_orderdate", since(900), 1000, 1)
-    return (alerts(big, "large_transaction", "high", F.col("o_orderkey").alias("txn_id"))
-            .unionByName(alerts(fast, "velocity", "medium", "txn_count")).unionByName(alerts(whole, "round_amount", "low", "round_count")))
+    return alerts(done(t), "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", latest(t.orders, "o_orderdate"))
+
+
+def alerts(df, account: str, key: str, amount: str, ts: str, as_of: Column):
+    """All rules in one pass: a row for each rule that a transaction meets, counted by account (large ones singly), against the rule's least number; ``key`` is unique."""
+    since = lambda days: F.col(ts) >= as_of - F.expr(f"INTERVAL {days} DAY")
+    none = F.lit(None).cast(df.schema[key].dataType)
+    hit = lambda rule, severity, txn, least: F.struct(F.lit(rule).alias("rule_name"), F.lit(severity).alias("severity"), txn.alias("txn"), F.lit(least).alias("least"))
+    met = F.array_compact(F.array(
+        F.when((F.col(amount) > 10000) & since(1), hit("large_transaction", "high", F.col(key), 1)),
+        F.when(since(90), hit("velocity", "medium", none, 2)),
+        F.when((F.col(amount) == F.floor(amount)) & (F.col(amount) >= 1000) & since(900), hit("round_amount", "low", none, 1))))
+    hits = df.filter(since(900)).select(F.col(account).alias("account"), F.explode(met).alias("h")).select("account", "h.*")
+    counts = hits.groupBy("account", "rule_name", "severity", "txn", "least").agg(F.count("*").alias("n")).filter("n >= least")
+    count_as = lambda name: json_row(F.col("n").alias(name))
+    details = (F.when(F.col("rule_name") == "large_transaction", json_row(F.col("txn").alias("txn_id")))
+               .when(F.col("rule_name") == "velocity", count_as("txn_count")).otherwise(count_as("round_count")))
+    return counts.select("account", "rule_name", "severity", details.alias("details"))
 
 
 def statement(df, account: str, ts: str, key: str, amount: str, is_credit: Column, start: Column, opening: bool = False):

@@ -1,5 +1,7 @@
 """Constraint checks on the input tables."""
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money
@@ -85,6 +87,23 @@ def candidate_keys(t):
     return quality.column_keys(t.customer, ["c_nationkey", "c_custkey", "c_acctbal"], 2)
 
 
+WIDE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+
+
+def _sets_sql() -> str:
+    """(columns, list of them, is_superkey) for each set of up to three columns of WIDE."""
+    sets = [s for w in (1, 2, 3) for s in combinations(WIDE, w)]
+    one = "SELECT '{0}' AS columns, {1} AS cs, (SELECT count(*) FROM (SELECT DISTINCT {0} FROM lineitem)) = (SELECT count(*) FROM lineitem) AS is_superkey"
+    return " UNION ALL ".join(one.format(",".join(s), list(s)) for s in sets)
+
+
+@query("dq_10_wide_keys", "DQ-10", sql=f"""
+    WITH s AS ({_sets_sql()}) SELECT columns, is_superkey, is_superkey AND NOT EXISTS (SELECT 1 FROM s AS x WHERE x.is_superkey AND len(x.cs) < len(s.cs)
+      AND list_has_all(s.cs, x.cs)) AS is_candidate FROM s""")
+def wide_keys(t):
+    return quality.column_keys(t.lineitem.select(*WIDE), WIDE, 3)
+
+
 @query("dq_11_normal_form", "DQ-11", sql="""
     WITH d AS (SELECT c_custkey, n_name, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey)
     SELECT 'n_name' AS determinant, 'n_regionkey' AS dependent, (SELECT max(x) = 1 FROM (SELECT count(DISTINCT n_regionkey) AS x FROM d GROUP BY n_name)) AS holds,

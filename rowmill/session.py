@@ -38,14 +38,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of it.
+def materialize(df: DataFrame, *folders: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and return a scan of it; with a folder for each value of the columns ``folders``, if given.
 
     Cuts the lineage like a checkpoint, keeps columns prunable, and fixes
     values (such as partition numbers) that a recomputation could change.
     """
     path = os.path.join(shared_folder(df.sparkSession), f"t-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored
@@ -62,6 +62,16 @@ def entries(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(where)) if store.exists(where) else []
 
 
+def file_sizes(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Bytes of files, from the listings of their folders."""
+    out: dict[str, int] = {}
+    wanted = {p.rsplit("/", 1)[-1] for p in paths}
+    for folder in sorted({p.rsplit("/", 1)[0] for p in paths}):
+        store, where = _folder(spark, folder)
+        out |= {f.getPath().toString(): f.getLen() for f in store.listStatus(where) if f.getPath().getName() in wanted}
+    return out
+
+
 def remove(spark: SparkSession, path: str) -> None:
     store, where = _folder(spark, path)
     store.delete(where, True)

@@ -325,7 +325,7 @@ def test_generators(spark):
 
 
 def test_rough_count(spark):
-    assert abs(aggregates.rough_count(spark.range(200_000), 0.05).first()[0] - 200_000) < 10_000
+    assert aggregates.rough_count(spark.range(200_000)) == (200_000, 0)
     sketch = aggregates.cardinality(spark.range(50_000).withColumn("m", F.col("id") % 1000), ["id", "m"], approximate=True)
     for r in sketch.collect():
         assert abs(r.cardinality / {"id": 50_000, "m": 1000}[r.column_name] - 1) < 0.15
