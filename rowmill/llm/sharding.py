@@ -42,15 +42,15 @@ def assign(df: DataFrame, key: str, weights: Sequence[float], into: str = "shard
     return df.withColumn(into, rendezvous(F.col(key), weights))
 
 
-def numbered(df: DataFrame, key: str, shard: str, slot: str = "slot") -> DataFrame:
-    """Rows with a gapless number from 0 within their shard, in the order of (slice of the key, all columns).
+def numbered(df: DataFrame, shard: str, slot: str = "slot") -> DataFrame:
+    """Rows with a gapless number from 0 within their shard, in the order of (slice, all columns).
 
     Equal rows are counted first, so a repeated row costs one row in the shuffles. Each shard is cut into slices by
-    the key's hash: a running count inside a slice, plus the rows of the slices before it (at most shards * SLICES sums, broadcast).
+    the hash of all columns, which also deals the rows of one very common key: a running count inside a slice, plus the rows of the slices before it (at most shards * SLICES sums, broadcast).
     """
     columns = df.columns
     at, n, rows, start, inside, first, into, slot_at = fresh(columns, "_slice", "_n", "_rows", "_start", "_inside", "_shard", slot, "_at")
-    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     slices = F.conv(F.substring(F.md5(text.cast("binary")), 1, 3), 16, 10).cast("int")
     counted = df.withColumn(at, slices).groupBy(at, *columns).agg(F.count(F.lit(1)).alias(n))
     before = Window.partitionBy(shard).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
@@ -83,12 +83,14 @@ bytes AS (
     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT) AS b FROM documents),
 sized AS (
   SELECT doc_id, size, xor(list_reduce([4294967295::BIGINT] || b, lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS text_crc32,
-    {_sql_shard(SHARDS)} AS shard, {_sql_shard(SHARDS + 1)} AS grown_shard,
-    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3))::INT AS slice
-  FROM bytes, bits)
+    {_sql_shard(SHARDS)} AS shard, {_sql_shard(SHARDS + 1)} AS grown_shard
+  FROM bytes, bits),
+sliced AS (
+  SELECT *, ('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), size, text_crc32, shard, grown_shard)), 1, 3))::INT AS slice
+  FROM sized)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY slice, doc_id, size, text_crc32) - 1 AS slot, grown_shard
-FROM sized
+FROM sliced
 """
 
 
@@ -102,5 +104,5 @@ def sharded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.crc32(bytes_), F.lit(0)).cast("bigint").alias("text_crc32"),
     )
     rows = assign(assign(rows, "doc_id", [1.0] * SHARDS), "doc_id", [1.0] * (SHARDS + 1), "grown_shard")
-    slots = numbered(rows, "doc_id", "shard")
+    slots = numbered(rows, "shard")
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

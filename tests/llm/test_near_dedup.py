@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from rowmill.llm import near_dedup
-from rowmill.llm.graph import components
+from rowmill.operators.components import components
 
 from helpers import documents, odd_texts, save, words
 
@@ -111,3 +111,17 @@ def test_keep_one_keeps_columns_and_one_row_of_each_group(spark):
     assert [r[0] for r in rows] == ["2", "8", "None"] and rows[2][1].startswith("other")
     assert near_dedup.keep_one(df.limit(0)).count() == 0
     assert near_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_hub_and_a_hot_fingerprint_keep_their_links(spark, tmp_path, monkeypatch):
+    """Two hundred texts near one, and one text two hundred times, with nodes of more than five links dealt to several tasks."""
+    from rowmill.operators import components as stars
+
+    monkeypatch.setattr(stars, "HUB_LINKS", 5)
+    base = [f"w{i}" for i in range(3000)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(0, 3000, 15)] + [" ".join(base)] * 200
+    save(documents(spark, texts), tmp_path, "documents")
+    got = near_dedup.near_duplicate_documents(spark, str(tmp_path)).collect()
+    fps = [plain_fingerprint(t) for t in texts]
+    roots = plain_components(fps)
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, min(j for j in range(len(texts)) if roots[j] == roots[i])) for i in range(len(texts))]

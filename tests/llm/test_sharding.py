@@ -40,11 +40,23 @@ def test_weights_share_the_rows_and_move_few(spark):
     assert 3 not in counts and abs(counts[2] - 10_000) < 400
     b = sharding.assign(a, "id", [1, 1, 2, 1], "later")
     assert b.where("later <> shard and later <> 3").count() == 0
-    numbered = sharding.numbered(a, "id", "shard")
+    numbered = sharding.numbered(a, "shard")
     assert numbered.columns == [*a.columns, "slot"] and numbered.count() == 20_000
     assert numbered.groupBy("shard").agg(F.countDistinct("slot").alias("n"), F.max("slot").alias("m")).where("n <> m + 1").count() == 0
 
 
+def test_many_rows_without_a_key_share_the_slices(spark, tmp_path):
+    """All of them go to one shard; its slots are still numbered in many slices, none with more than a small part."""
+    n = 100_000
+    rows = spark.range(n).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("").alias("lang"), F.lit("").alias("source"), F.lit(0).cast("bigint").alias("n_chars"))
+    save(rows, tmp_path, "documents")
+    got = sharding.sharded_documents(spark, str(tmp_path))
+    assert got.agg(F.count("*"), F.countDistinct("slot"), F.max("slot"), F.countDistinct("shard")).first()[:] == (n, n, n - 1, 1)
+    text = F.concat_ws(":", F.lit(""), "size", "text_crc32", "shard", "grown_shard")
+    slices = got.groupBy(F.substring(F.md5(text.cast("binary")), 1, 3)).count().agg(F.max("count"), F.count("*")).first()
+    assert slices[0] < 80 and slices[1] == 4096
+
+
 def test_empty_table(spark, tmp_path):
     save(documents(spark, []), tmp_path, "documents")
     assert sharding.sharded_documents(spark, str(tmp_path)).count() == 0
