@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmill.llm.common import query, table, with_text
-from rowmill.llm.html_blocks import Block, blocks
+from rowmill.llm.html_blocks import Block, Path, blocks
 from rowmill.llm.units import Memo
 
 PATH_SIZE = 48
@@ -83,25 +83,37 @@ def _row(word: str) -> int:
 _ROWS = Memo(_row, 1 << 17)
 
 
+def _path_sum(at: Path | None, sums: dict[Path, tuple[np.ndarray, int]]) -> tuple[np.ndarray, int]:
+    """The sum of the vectors of all names of a path, and their number; each element adds to what its parent has."""
+    new = []
+    while at is not None and at not in sums:
+        new.append(at)
+        at = at.parent
+    total, near = sums[at] if at is not None else (np.zeros(PATH_SIZE), 0)
+    for element in reversed(new):
+        own = [_name_vector(n) for n in element.names if n not in ("html", "body")]
+        total, near = sum(own, total), near + len(own)
+        sums[element] = total, near
+    return total, near
+
+
 def vectors(page: list[Block]) -> np.ndarray:
     """(blocks, INPUT)."""
     out = np.zeros((len(page), INPUT))
     if not page:
         return out
-    paths: dict[tuple[str, ...], np.ndarray] = {}
+    sums: dict[Path, tuple[np.ndarray, int]] = {}
     words = [b.text.split(" ") for b in page]
     counts = np.array([len(w) for w in words])
     rows = np.fromiter((_ROWS[w] for some in words for w in some), np.int64, int(counts.sum()))
     means = np.add.reduceat(_WORDS[rows], np.cumsum(counts) - counts) / counts[:, None]
     shares = []
     for i, b in enumerate(page):
-        if b.path not in paths:
-            near = [_name_vector(n) for n in b.path if n not in ("html", "body")]
-            paths[b.path] = np.sum(near, axis=0) / np.sqrt(max(4, len(near))) if near else np.zeros(PATH_SIZE)
-        out[i, :PATH_SIZE] = paths[b.path]
+        total, near = _path_sum(b.at, sums)
+        out[i, :PATH_SIZE] = total / np.sqrt(max(4, near))
         data = b.text.encode()
         marks, digits = len(data) - len(data.translate(None, b".,;:!?")), len(data) - len(data.translate(None, b"0123456789"))
-        shares.append((min(1.0, b.link_chars / len(b.text)), marks / counts[i], digits / len(data), len(b.path) / 10, 1.0 if b.text[-1] in ".!?" else 0.0))
+        shares.append((min(1.0, b.link_chars / len(b.text)), marks / counts[i], digits / len(data), b.at.size / 10, 1.0 if b.text[-1] in ".!?" else 0.0))
     out[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] = means
     out[:, -SHARES] = np.log1p(counts) / 4
     out[:, 1 - SHARES] = np.arange(len(page)) / len(page)

@@ -121,3 +121,28 @@ def test_pages_with_text_need_a_labeller():
     assert hx.texts(None, ["", "<p> </p>"]) == ["", ""]
     with pytest.raises(ValueError):
         hx.texts(None, ["<p>x"])
+
+
+def shown(source):
+    return [b.text for b in blocks(source)]
+
+
+def test_quotes_comments_and_nested_hidden_elements():
+    assert shown("<p title=don't>Hello it's me</p><p>World it's</p>") == ["Hello it's me", "World it's"]
+    assert shown("<p title=don't>Hello") == ["Hello"] and shown('<p class="a"">Hello</p>') == ["Hello"]
+    assert shown('<p a = "x>y" b=\'>\' c= d/ e=>Hello</p >there') == ["Hello", "there"]
+    assert shown("<p>a<!-->b<!--->c<!-- x > --!>d<!-- -->e<!---->f") == ["abcdef"]
+    assert shown("<template><template>in</template>out</template>a<object><p>x<object>y</object>z</object>b") == ["ab"]
+    assert shown("a<![CDATA[x > y ]]>b<!bogus>c<?php x ?>d</>e</ x>f</") == ["abcdef</"]
+    assert shown("<select><option>x</select>a<textarea><p></textarea>b<title>t</title>c<xmp><p>x</xmp>d") == ["abcd"]
+    assert shown("a<p class='x") == ["a"] and shown("<![CDATA[ x") == [] and shown("a<b") == ["a"] and shown("1 <2") == ["1 <2"]
+    assert [b.path for b in blocks("<div data-id=no id='Yes-1' CLASS=\"b c\" role=main>x")] == [("div", ".yes", ".1", ".b", ".c", ".main")]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b='", "<div>x", "<p><button><div>", "</x>", "<!--", "<![CDATA[", "<svg><g>", "<svg>", "<p class=\"a\"\" ", "<template>", "< ", "<li><ul>", "<script>", "</div><div>x"])
+def test_two_megabytes_of_any_markup_take_seconds(piece):
+    import time
+
+    start = time.process_time()
+    blocks(piece * (2_000_000 // len(piece)))
+    assert time.process_time() - start < 15
