@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowmill.functions import scalar, udf
 from rowmill.operators import (aggregates, audit, baskets, filters, hierarchy, islands, joins, layout, mutate, normalize, ordered, paging,
                                quality)
+from rowmill.sources.versioned import VersionedTable
 from rowmill.sources import generate, sink
 from rowmill.sources.scan import literal_rows
 
@@ -212,10 +213,11 @@ def test_partition_labels(spark, dated, tmp_path):
     filters_ = [x for x in plan.splitlines() if "PartitionFilters" in x]
     assert filters_ and "label" in filters_[0] and "p2024" in filters_[0] and "p2023" not in filters_[0]
     assert "GreaterThanOrEqual(ts" in plan
-    layout.split_catch_all(spark, path, "label", "p_future", layout.year_bucket(F.col("ts"), 2025, 2025))
-    spark.catalog.refreshByPath(path)
-    assert {r.label for r in spark.read.parquet(path).select("label").distinct().collect()} == {"p2022", "p2023", "p2024", "p2025"}
-    assert spark.read.parquet(path).count() == 5
+    table = VersionedTable(spark, str(tmp_path / "v"), "label")
+    table.create(dated)
+    table.split("p_future", layout.year_bucket(F.col("ts"), 2025, 2025))
+    assert {r.label for r in table.read().select("label").distinct().collect()} == {"p2022", "p2023", "p2024", "p2025"}
+    assert table.read().count() == 5
     assert layout.stored_sizes(spark, path, "label").filter("bytes > 0").count() >= 4
     sink.truncate(spark, path, "label=p2022")
     spark.catalog.refreshByPath(path)
