@@ -41,11 +41,11 @@ _PART = re.compile(r"[a-z0-9]+")
 class Path:
     """The names of an element and, through its parent, of all around it."""
 
-    __slots__ = ("parent", "names", "size")
+    __slots__ = ("parent", "names", "depth")
 
     def __init__(self, parent: Path | None, names: tuple[str, ...]):
         self.parent, self.names = parent, names
-        self.size = len(names) + (parent.size if parent else 0)
+        self.depth = 1 + (parent.depth if parent else 0)
 
     def __iter__(self) -> Iterator[str]:
         levels, at = [], self
@@ -148,15 +148,16 @@ class _Stack:
     """Open elements; the nearest of a kind is known without a search."""
 
     def __init__(self) -> None:
+        self.root = Path(None, ())
         self.open: list[tuple[str, Path]] = []
         self.places: dict[str, list[int]] = {}
 
     def path(self) -> Path:
-        return self.open[-1][1] if self.open else Path(None, ())
+        return self.open[-1][1] if self.open else self.root
 
     def push(self, tag: str, values: list[str]) -> None:
         self.places.setdefault(tag, []).append(len(self.open))
-        self.open.append((tag, Path(self.open[-1][1] if self.open else None, names_of(tag, values))))
+        self.open.append((tag, Path(self.path(), names_of(tag, values))))
 
     def nearest(self, kinds: tuple[str, ...]) -> int:
         return max((self.places[k][-1] for k in kinds if self.places.get(k)), default=-1)

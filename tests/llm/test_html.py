@@ -146,3 +146,69 @@ def test_two_megabytes_of_any_markup_take_seconds(piece):
     start = time.process_time()
     blocks(piece * (2_000_000 // len(piece)))
     assert time.process_time() - start < 15
+
+
+def unseen(rng, layout):
+    """A page whose layout is not among those of the training copies: (html, blocks of the article, other blocks)."""
+    para = lambda a=12, b=60: " ".join(words(rng, rng.randrange(a, b))) + "."
+    menu = [" ".join(words(rng, rng.randrange(1, 4))) for _ in range(rng.randrange(3, 9))]
+    links = "".join(f"<li><a href='/{k}'>{w}</a></li>" for k, w in enumerate(menu))
+    title, paras, foot, ad = " ".join(words(rng, 5)), [para() for _ in range(rng.randrange(3, 9))], "&copy; " + " ".join(words(rng, 4)), " ".join(words(rng, 6)) + "."
+    shown, others = f"<h2>{title}</h2>" + "".join(f"<p>{p}</p>" for p in paras), [*menu, foot.replace("&copy;", "\u00a9")]
+    if layout == "layout names on body":
+        inner = f"<nav><ul>{links}</ul></nav><article>{shown}</article><footer>{foot}</footer>"
+        return f"<body class='single-post header-fixed nav-open'>{inner}</body>", [title, *paras], others
+    if layout == "links beside the article":
+        inner = f"<div class='page-body'><div class='quick'><ul>{links}</ul></div><article class='entry'>{shown}</article></div><footer>{foot}</footer>"
+        return f"<body>{inner}</body>", [title, *paras], others
+    if layout == "no names":
+        return f"<body><nav><ul>{links}</ul></nav><div id='x1'>{shown}</div><footer>{foot}</footer></body>", [title, *paras], others
+    if layout == "tables":
+        return f"<body><table><tr><td width=20%><ul>{links}</ul></td><td>{shown}</td></tr></table><div id='footer'>{foot}</div></body>", [title, *paras], others
+    if layout == "form around the page":
+        return f"<body><form id='aspnetForm'><div class='mainmenu'><ul>{links}</ul></div><div id='ctl00_cph'>{shown}</div></form><div class='site-footer'>{foot}</div></body>", [title, *paras], others
+    if layout == "more comments than text":
+        replies = [para() for _ in range(2 * len(paras))]
+        listed = "".join(f"<li class='comment even depth-1'><div class='vcard'><p>{r}</p></div></li>" for r in replies)
+        return f"<body><nav>{links}</nav><div class='post hentry'>{shown}</div><div id='comments'><ol>{listed}</ol></div><footer>{foot}</footer></body>", [title, *paras], others + replies
+    if layout == "role and rail":
+        inner = f"<div class='cookie-consent'><p>{ad}</p></div><ul class='menu-main'>{links}</ul><div role='main'>{shown}</div><aside class='right-rail'><p>{ad}</p></aside>"
+        return f"<body>{inner}<footer>{foot}</footer></body>", [title, *paras], [*others, ad, ad]
+    assert layout == "grid with sidebar"
+    rail = [para(5, 15) for _ in range(2)]
+    inner = f"<div class='col-8'>{shown}</div><div class='col-4 sidebar'>{''.join(f'<p>{r}</p>' for r in rail)}</div>"
+    return f"<body><header><ul>{links}</ul></header><div class='wrap has-sidebar'><div class='row'>{inner}</div></div><footer>{foot}</footer></body>", [title, *paras], others + rail
+
+
+UNSEEN = ["layout names on body", "links beside the article", "no names", "tables", "form around the page", "more comments than text", "role and rail", "grid with sidebar"]
+
+
+@pytest.fixture(scope="module")
+def trained(spark, pages):
+    return hx.train(spark.createDataFrame([(i, h) for i, (h, _) in enumerate(pages)], "page_id bigint, html string"))
+
+
+@pytest.mark.parametrize("layout", UNSEEN)
+def test_layouts_left_out_of_training(trained, layout):
+    rng = random.Random(layout)
+    given = [unseen(rng, layout) for _ in range(40)]
+    got = [t.split("\n") for t in hx.texts(trained, [h for h, _, _ in given])]
+    kept = sum(len(g) for g in got if g != [""])
+    right = sum(sum(min(g.count(b), main.count(b)) for b in set(main)) for g, (_, main, _) in zip(got, given))
+    assert right >= 0.9 * sum(len(main) for _, main, _ in given), right / sum(len(main) for _, main, _ in given)
+    assert right >= 0.9 * kept, right / kept
+
+
+def test_teacher_goes_by_the_share_of_the_text():
+    def taught(source):
+        page = blocks(source)
+        return [b.text for b, y in zip(page, hx.teacher(page)) if y]
+
+    long = "a b c d e f g h i j k l m n o p q r s t"
+    assert taught(f"<body class='header-fixed'><nav>m</nav><article><p>{long}</article>") == [long]
+    assert taught(f"<div class='page-body'><ul><li>x y</ul><article><p>{long}</article></div>") == [long]
+    assert taught(f"<div class='page-body'><h1>t</h1><ul><li>x y</ul><article><p>{long}</article></div>") == ["t", long]
+    assert taught(f"<div id=x1><h2>t</h2><p>{long}<p>{long}</div><div><p>s</div><div class=menu>m</div>") == ["t", long, long]
+    assert taught(f"<article><p>x y</article><div class=comments><p>{long}<p>{long}</div>") == ["x y"]
+    assert taught("<nav>m</nav>") == [] and taught("") == []
+    assert taught("<main>" + "<div>x" * 20_000).count("x") == 20_000
