@@ -4,6 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from rowmill.functions.money import money, money_avg, money_sum, pct
 from rowmill.functions.scalar import period_diff
+from rowmill.operators.joins import bounded_broadcast
 from rowmill.operators import allocation, baskets, ordered, paging
 from rowmill.plans.bindings import INVENTORY, ITEMS, inventory, items
 from rowmill.plans.registry import query
@@ -218,7 +219,7 @@ SUMMARY = """SELECT o_orderkey, c_name, n_name, count(l_partkey) AS item_count,
 @query("ap_40_order_summary", "AP-40", sql=SUMMARY)
 def order_summary(t):
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("l_partkey").alias("item_count"), money_sum("l_extendedprice").alias("total"))
-    buyers = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("o_custkey"), "c_name", "n_name")
+    buyers = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("o_custkey"), "c_name", "n_name")
     return (t.orders.select("o_orderkey", "o_custkey").join(lines, "o_orderkey").join(buyers, "o_custkey")
             .select("o_orderkey", "c_name", "n_name", "item_count", "total"))
 

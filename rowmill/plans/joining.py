@@ -72,7 +72,7 @@ WIDE = """SELECT o_orderkey, o_orderdate, c_name, n_name, p_name, p_retailprice,
 
 
 def wide_orders(t):
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
     return (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
             .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(c.select("c_custkey", "c_name", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
@@ -165,7 +165,7 @@ def group_maximum(t):
     JOIN nation ON c_nationkey = n_nationkey WHERE r = 1""")
 def top_earners(t):
     best = ordered.top_ranks(t.customer, ["c_nationkey"], ["-c_acctbal"], 1)
-    return best.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_name", "c_acctbal")
+    return best.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_name", "c_acctbal")
 
 
 @query("jn_17_tuple_equals", "JN-17", sql="""
@@ -304,10 +304,10 @@ def cte_chain(t):
     e = emp(t)
     best = (e.filter("dept_id IS NOT NULL").groupBy("dept_id").agg(money_avg("salary").alias("mean"))
             .filter("mean > 4600").select("dept_id"))
-    return (e.join(best, "dept_id", "left_semi").join(F.broadcast(dept(t)), "dept_id").select("name", "salary", "dept"))
+    return (e.join(best, "dept_id", "left_semi").join(bounded_broadcast(dept(t)), "dept_id").select("name", "salary", "dept"))
 
 
 @query("sq_09_named_view", "SQ-09", sql="SELECT emp_id, name FROM (SELECT c_custkey AS emp_id, c_name AS name, c_acctbal FROM customer) WHERE c_acctbal > 9000")
 def named_view(t):
-    emp(t).filter("salary > 9000").createOrReplaceTempView("well_paid")
-    return t.spark.sql("SELECT emp_id - 1 AS emp_id, name FROM well_paid")
+    well_paid = emp(t).filter("salary > 9000")  # a view of its own name for each call, dropped after it
+    return t.spark.sql("SELECT emp_id - 1 AS emp_id, name FROM {well_paid}", well_paid=well_paid)

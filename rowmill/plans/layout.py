@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money
+from rowmill.operators.joins import bounded_broadcast
 from rowmill.operators import layout
 from rowmill.plans.registry import query
 from rowmill.session import shared_folder
@@ -48,7 +49,7 @@ def date_partitions(t):
     SELECT CASE WHEN n_regionkey IN (0, 1) THEN 'west' WHEN n_regionkey IN (2, 3) THEN 'east' ELSE 'rejected' END AS label, count(*) AS n
     FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
 def list_partitions(t):
-    d = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey")
+    d = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey")
     good, rejects = layout.list_bucket(d, "n_regionkey", {"west": [0, 1], "east": [2, 3]})
     return good.unionByName(rejects.withColumn("label", F.lit("rejected"))).groupBy("label").agg(F.count("*").alias("n"))
 

@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money
+from rowmill.operators.joins import bounded_broadcast
 from rowmill.operators import normalize
 from rowmill.plans.joining import WIDE, wide_orders
 from rowmill.plans.registry import query
@@ -47,7 +48,7 @@ def second_form_lookup(t):
     SELECT c_custkey, place_id FROM w JOIN d ON w.n_name = d.n_name AND w.r_name = d.r_name""")
 def third_form(t):
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    w = t.customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "r_name")
+    w = t.customer.join(bounded_broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "r_name")
     return normalize.decompose(w, ["n_name", "r_name"], "place_id")[1]
 
 
@@ -71,7 +72,7 @@ def order_totals(t):
     JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""")
 def fact_table(t):
     """Join the dimensions once, store the facts by year, read the report from the stored table."""
-    buyers = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    buyers = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
     facts = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
              .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
              .join(buyers.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))

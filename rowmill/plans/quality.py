@@ -5,6 +5,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from rowmill.functions.money import money
+from rowmill.operators.joins import bounded_broadcast
 from rowmill.operators import mutate, quality
 from rowmill.plans.registry import query
 
@@ -110,7 +111,7 @@ def wide_keys(t):
       (SELECT count(*) > count(DISTINCT n_name) FROM d) AND (SELECT max(x) = 1 FROM (SELECT count(DISTINCT n_regionkey) AS x FROM d GROUP BY n_name)) AS violates
     UNION ALL SELECT 'c_custkey', 'n_name', true, false UNION ALL SELECT 'n_regionkey', 'n_name', false, false""")
 def normal_form(t):
-    d = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "n_regionkey")
+    d = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "n_regionkey")
     return quality.normal_form_violations(d, [(["n_name"], ["n_regionkey"]), (["c_custkey"], ["n_name"]), (["n_regionkey"], ["n_name"])])
 
 
