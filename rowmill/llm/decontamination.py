@@ -9,14 +9,15 @@ at a weighted Jaccard similarity (sum of least counts by sum of largest counts)
   fingerprint within RADIUS bits differs by at most RADIUS // BLOCKS bits in one of the blocks, and each block's table lists
   the items for every such value. So the lookup returns all items within the radius.
 * Every item found is verified by the exact similarity.
-
-At a similarity of 0.8 the expected distance is about 9 bits of 64, with a deviation of 3; RADIUS is 20.
+* At a similarity of 0.8 the distance is about 9 bits of 64, with a deviation of 3, so some matches lie outside RADIUS. None is lost: the automaton has
+  told where the shingles of each item are, and two bags of c and m shingles that match have at least 4 (c + m) / 9 in common. Windows with as many
+  shingles of an item are verified against it too, whatever their fingerprints.
 
 The items are the stated query set: they reach the tasks in blocks of at most BLOCK_CHARS characters, and each block is held against all documents.
 
 Defined cases: words are split at ASCII white space, A-Z in lower case; a null or empty text, on either side, matches nothing; an item or window of fewer
 than five words is one shingle; rows of the same item or document match on their own; texts of any length are read whole; an empty table on either side gives no
-matches; further columns are ignored by ``matches`` and kept by ``without_leaks``.
+matches; of windows equally similar to an item the first is named; further columns are ignored by ``matches`` and kept by ``without_leaks``.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ from rowmill.llm.common import query, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 20
-BLOCKS = 7
+RADIUS = 14
+BLOCKS = 5
 BITS = 64
 BLOCK_CHARS = 4_000_000
 
@@ -123,13 +125,16 @@ class Index:
         # Places in " w1 w2 ... ": a hit's first character is the space before its first word.
         starts = np.cumsum([0] + [len(w.decode(errors="surrogateescape")) + 1 for w in words]).tolist()
         regions: dict[int, set[int]] = defaultdict(set)
+        owned: dict[int, list[int]] = defaultdict(list)
         for at, who in hits:
             word = bisect_right(starts, at - 1) - 1
             for i in who:
+                owned[i].append(word)
                 n = min(self.sizes[i], len(words))
                 reach = max(0, n - SHINGLE)
                 regions[self.sizes[i]].update(range(max(0, word - reach), min(word, len(words) - n) + 1))
         parts = shingles(words)
+        due = self._due(owned, len(words))
         found: dict[int, tuple[float, int]] = {}
         for size, places in regions.items():
             n = min(size, len(words))
@@ -141,7 +146,7 @@ class Index:
                     sums = np.concatenate([np.zeros((1, BITS), np.int64), np.cumsum(votes(parts[first : run[-1] + count]), axis=0)])
                     sums = sums[count:] - sums[:-count]
                 for p, fp in zip(run, packed(sums).tolist(), strict=True):
-                    near = self.within(size, fp)
+                    near = {i for i in self.within(size, fp) if i in owned} | due.get((size, p), set())
                     if near:
                         bag = Counter(parts[p : p + count] if n >= SHINGLE else [b" ".join(words[p : p + n])])
                     for i in near:
@@ -150,6 +155,18 @@ class Index:
                             found[i] = (s, p)
         return found
 
+    def _due(self, owned: dict[int, list[int]], length: int) -> dict[tuple[int, int], set[int]]:
+        """(item size, first word) of the windows that hold enough shingles of an item to match it, with these items. ``owned``: ascending places of their shingles."""
+        due: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for i, at in owned.items():
+            n = min(self.sizes[i], length)
+            count = max(1, n - SHINGLE + 1)
+            least = max(1, ceil(SIMILARITY / (1 + SIMILARITY) * (self.bags[i].total() + count) - 1e-9))
+            for first, last in zip(at, at[least - 1 :]):
+                for p in range(max(0, last - count + 1), min(first, length - n) + 1):
+                    due[self.sizes[i], p].add(i)
+        return due
+
 
 def _runs(places: list[int]) -> Iterator[list[int]]:
     run = [places[0]] if places else []

@@ -99,6 +99,62 @@ def test_fourier_features_approximate_the_kernel():
     assert np.abs(p @ p.T - want).mean() < 0.06
 
 
+def test_summed_normal_equations_equal_one_plain_ridge(spark, folder):
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet").repartition(7), spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality_classifier.train(docs, labels)
+    quality = {}
+    for r in labels.where("doc_id is not null and quality is not null").collect():
+        quality[r.doc_id] = min(r.quality, quality.get(r.doc_id, 9))
+    rows = [(r.doc_id, quality_classifier.statistics(r.text or "")) for r in docs.collect() if r.doc_id in quality and not held(r.doc_id, 4, 2)]
+    x, y = np.array([s for _, s in rows]), np.array([float(quality[i]) for i, _ in rows])
+    fit = np.array([not held(i, 4, 3) for i, _ in rows])
+    scale = x.std(axis=0)
+    p = quality_classifier.expand(x, x.mean(axis=0), np.where(scale < 1e-9, 1.0, scale))
+    weights = np.linalg.solve(p[fit].T @ p[fit] + quality_classifier.RIDGE * np.eye(p.shape[1]), p[fit].T @ y[fit])
+    assert model.weights == pytest.approx(weights, abs=1e-6)
+    bins = np.round(np.clip(p[~fit] @ weights, 0, 1) * quality_classifier.BINS)
+    knots = np.unique(bins)
+    steps = quality_classifier.isotonic(knots, np.array([y[~fit][bins == b].sum() for b in knots]), np.array([(bins == b).sum() for b in knots]))
+    assert model.knots == pytest.approx(knots / quality_classifier.BINS) and model.values == pytest.approx(steps)
+
+
+def test_the_fitted_field_is_where_the_gradient_vanishes():
+    """The penalised likelihood by enumeration of all taggings; its central differences at the fit are zero, and not at another point."""
+    segments = [["you", "total", "idiot"], ["good", "day", "you", "all"], ["idiot"], ["an", "idiot", "and", "a", "scum"], ["a", "good", "all"]]
+    tags = [[0, 1, 1], [0, 0, 0, 1], [1], [0, 1, 0, 0, 1], [0, 1, 0]]
+    l2, n = 0.05, sum(map(len, segments))
+    field = toxicity.fit_field(segments, tags, steps=1500, l2=l2)
+    placed = {w: toxicity.features(w) for s in segments for w in s}
+    used = sorted({k for own, before, after in placed.values() for k in (*own, before, after)})
+
+    def loss(weights, trans, start):
+        total = 0.0
+        for s, t in zip(segments, tags):
+            u = [sum(weights[k] for k in placed[w][0]) for w in s]
+            for i in range(len(s) - 1):
+                u[i + 1] += weights[placed[s[i]][1]]
+                u[i] += weights[placed[s[i + 1]][2]]
+            value = lambda z: start[z[0]] + sum(trans[a, b] for a, b in zip(z, z[1:])) + sum(u[i] for i in range(len(z)) if z[i])  # noqa: E731,B023
+            total += np.logaddexp.reduce([value(z) for z in itertools.product((0, 1), repeat=len(s))]) - value(t)
+        return total / n + l2 / 2 * (sum(weights[k] ** 2 for k in used) + (trans**2).sum() + (start**2).sum())
+
+    def slopes(weights, trans, start):
+        found = []
+        for x, places in ((weights, used[::6]), (trans, list(np.ndindex(2, 2))), (start, [0, 1])):
+            for k in places:
+                old, h = x[k], 1e-4
+                x[k] = old + h
+                up = loss(weights, trans, start)
+                x[k] = old - h
+                found.append((up - loss(weights, trans, start)) / (2 * h))
+                x[k] = old
+        return np.abs(found)
+
+    weights = {k: float(field.weights[k]) for k in used}
+    assert slopes(weights, field.trans.copy(), field.start.copy()).max() < 1e-3
+    assert slopes(dict.fromkeys(used, 0.0), np.zeros((2, 2)), np.zeros(2)).max() > 1e-2
+
+
 def test_forward_backward_matches_enumeration(monkeypatch):
     monkeypatch.setattr(toxicity, "ROW", 4)
     rng = np.random.default_rng(1)
@@ -134,7 +190,7 @@ def test_op8_counts_and_order_free_verdict(spark, folder):
     rng = random.Random(3)
     texts = [" ".join(rng.choice(["a", "b", "c", "dd", "é\n", "x\n\n"]) for _ in range(rng.randrange(120))) for _ in range(150)] + [t or "" for t in odd_texts()]
     for t in texts:
-        c = quality_rules.counted(t)
+        c = quality_rules.Text(t)
         assert (c.n_words, c.word_chars, c.n_symbols, c.n_dup_lines, c.n_repeat_words) == plain_counts(t)
         verdicts = {quality_rules.passes(c, order) for order in itertools.islice(itertools.permutations(quality_rules.RULES), 30)}
         assert len(verdicts) == 1
@@ -155,6 +211,15 @@ def test_cascade_order_prefers_rejections_per_second(spark):
     assert quality_rules.cascade_order(df.limit(0), rules=rules) == ["fast", "never", "slow"]
 
 
+def test_the_cascade_stops_before_dear_counts():
+    few, shouting = quality_rules.Text("a b c"), quality_rules.Text("LOUD WORDS " * 40)
+    order = ["few_words", "shouting", "repeated_words", "repeated_lines"]
+    assert not quality_rules.passes(few, order) and not quality_rules.passes(shouting, order)
+    for t in (few, shouting):
+        assert "words" in vars(t) and not {"n_repeat_words", "lines", "n_dup_lines", "n_symbols", "word_chars"} & set(vars(t))
+    assert few.base_failed and shouting.base_failed and "n_repeat_words" not in vars(few) and "n_repeat_words" in vars(shouting)
+
+
 def test_keep_passing_keeps_columns(spark, folder):
     df = spark.read.parquet(f"{folder}/documents.parquet")
     kept = quality_rules.keep_passing(df)

@@ -55,6 +55,26 @@ def test_op7_matches_brute_force(spark, tmp_path, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in dc.matches(docs, table).collect()} == set(want)
 
 
+def test_matches_outside_the_radius_are_found_by_their_shingles(monkeypatch):
+    rng = random.Random(11)
+    benchmark = [b for b in items(rng) if b] + ["w x y z v " * 6, "again and again " * 9]
+    texts = planted(rng, benchmark) + [" ".join(words(rng, 30)) + f" {b} {b} tail" for b in benchmark[-2:]] + [" ".join(b.split()[:-2]) for b in benchmark[:20]]
+    want = [{k: s for k, b in enumerate(benchmark) if (s := plain_matches(t, b)) is not None} for t in texts]
+    assert sum(any(s < 1 for s in w.values()) for w in want) > 20
+    for radius in (0, dc.RADIUS):
+        monkeypatch.setattr(dc, "RADIUS", radius)
+        index = dc.Index(tuple(benchmark))
+        assert [{k: s for k, (s, _) in index.matches(t).items()} for t in texts] == want
+    monkeypatch.setattr(dc.Index, "_due", lambda *_: {})  # the fingerprints alone find nearly all
+    index = dc.Index(tuple(benchmark))
+    assert sum(len(index.matches(t)) for t in texts) >= 0.9 * sum(map(len, want))
+
+
+def test_of_equal_windows_the_first_is_named():
+    item = "one two three four five six seven"
+    assert dc.Index((item,)).matches(f"x {item} y {item}") == {0: (1.0, 1)}
+
+
 def test_lookup_returns_all_items_within_the_radius():
     rng = random.Random(1)
     index = dc.Index(tuple(" ".join(words(rng, 20)) for _ in range(60)))

@@ -21,7 +21,7 @@ def expected(spark, folder):
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     score = {r.doc_id: r.score for r in quality_classifier.score(docs, quality_classifier.train(docs, labels)).collect()}
     rows = sorted((r.doc_id, r.text or "") for r in docs.collect() if score[r.doc_id] >= 0.7)
-    rows = [(i, t) for i, t in rows if quality_rules.passes(quality_rules.counted(t), list(quality_rules.RULES))]
+    rows = [(i, t) for i, t in rows if quality_rules.passes(quality_rules.Text(t), list(quality_rules.RULES))]
     first = {}
     for root, row in zip(plain_components([plain_fingerprint(t) for _, t in rows]), rows):
         first.setdefault(root, row)
