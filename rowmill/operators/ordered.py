@@ -58,9 +58,9 @@ def _group(part: list[str]) -> Column:
     return F.struct(*part) if part else F.lit(0)
 
 
-def running_sums(df: DataFrame, part: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Add one running sum per entry: all rows of the group up to and including this one."""
-    df, n = plan_slices(df, part)
+def running_sums(df: DataFrame, part: list[str], order: list[str], sums: dict[str, Column], slices: int | None = None) -> DataFrame:
+    """Add one running sum per entry: all rows of the group up to and including this one. ``slices`` is the number for ``plan_slices``, where known."""
+    df, n = plan_slices(df, part) if slices is None else (df, slices)
     if not n:
         w = Window.partitionBy(*part).orderBy(*sort_keys(order)).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(w).alias(k) for k, c in sums.items()])

@@ -157,6 +157,28 @@ def test_a_chain_where_each_request_needs_the_one_before_takes_few_rounds(spark,
     assert len(trace) <= 9
 
 
+def test_rounds_that_settle_a_third_are_followed_by_brackets_of_what_can_still_be_felt(spark, monkeypatch):
+    """All lines or none on scarce stock: the first bracket leaves more than half of the legs open, yet no component is sought."""
+    monkeypatch.setattr(allocation, "FOLD_ROWS", 200)
+    rng = random.Random(4)
+    stock = {p: rng.randint(0, 400) for p in range(60)}
+    wants = {o: {p: rng.randint(1, 50) for p in rng.sample(range(62), rng.randint(1, 6))} for o in range(500)}
+    left, want = dict(stock), {}
+    for o, need in wants.items():
+        want[o] = all(left.get(p, -1) >= q for p, q in need.items())
+        if want[o]:
+            for p, q in need.items():
+                left[p] -= q
+    legs = spark.createDataFrame([(o, p, -q) for o, need in wants.items() for p, q in need.items()], "id long, account long, delta long")
+    accounts, trace = spark.createDataFrame([(p, v, 0) for p, v in stock.items()], "account long, stock long, floor long"), []
+    before = len(os.listdir(shared_folder(spark)))
+    got = allocation.settle(legs, accounts, "id", ["id"], "stock", "floor", trace=trace)
+    assert {r.id: r.accepted for r in got.collect()} == want and got.count() == 500
+    total = sum(map(len, wants.values()))
+    assert trace[0][1] > total / 2 and {k for k, _ in trace} == {"bracket", "fold"}
+    assert len(os.listdir(shared_folder(spark))) == before + 1  # the rounds' tables are gone
+
+
 @pytest.mark.parametrize("hub", [1000, 3])
 def test_components(spark, monkeypatch, hub):
     monkeypatch.setattr(components, "HUB_LINKS", hub)
