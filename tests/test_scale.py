@@ -195,3 +195,20 @@ def test_fraud_alerts_scan_orders_twice(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     # The clock's scan is printed wherever its one result is used again.
     assert len(set(re.findall(r"FileScan parquet .*ReadSchema: (\S+)", text))) == 2 and "Union" not in text and "ReusedSubquery" in text
+
+
+def test_sums_move_in_as_many_tasks_as_asked_and_a_frequent_key_as_few_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(7 if i % 3 else i, None if i % 5 == 0 else 1, 1) for i in range(3000)], "a long, b long, m long")
+    got = baskets.summed(rows, ["a", "b"], "m", 37)
+    want = {}
+    for a, b, m in rows.collect():
+        want[a, b] = want.get((a, b), 0) + m
+    assert {(r.a, r.b): r.m for r in got.collect()} == want and got.rdd.getNumPartitions() == 37
+    monkeypatch.setattr(baskets, "TASK_PAIRS", 20)
+    asked = []
+    made = baskets.summed
+    monkeypatch.setattr(baskets, "summed", lambda rows, keys, value, tasks: asked.append(tasks) or made(rows, keys, value, tasks))
+    lines = spark.createDataFrame([(b, i) for b in range(40) for i in range(b % 5, b % 5 + 6)], "b long, i long")
+    best = baskets.frequent_pairs(lines, "b", "i", 2, 3)
+    assert asked[-1] == 30  # 40 baskets of 15 pairs, 20 a task
+    assert [(r.item_a, r.item_b, r.together) for r in best.collect()] == [(4, 5, 40), (3, 4, 32), (3, 5, 32)]
