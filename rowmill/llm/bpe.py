@@ -55,33 +55,27 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     end = made(range(1, n + 1))
     begin = made(range(-1, n))  # of the token that ends at a position
 
-    def put(i: int, value: int) -> None:
-        k = size + i
-        tree[k] = value
-        while k > 1:
-            other = tree[k ^ 1]
-            if other < value:
-                value = other
-            k >>= 1
-            if tree[k] == value:
-                return
-            tree[k] = value
-
-    def pair(i: int) -> int:
-        middle = end[i]
-        r = rank(piece[i : end[middle]]) if middle < n else None
-        return NONE if r is None else r << digits | i
-
     while (best := tree[1]) != NONE:
         i = best & low
         swallowed = end[i]
         end[i] = after = end[swallowed]
         begin[after] = i
-        put(swallowed, NONE)
-        put(i, pair(i))
+        r = rank(piece[i : end[after]]) if after < n else None
+        changed = [(size + swallowed, NONE), (size + i, NONE if r is None else r << digits | i)]
         before = begin[i]
         if before >= 0:
-            put(before, pair(before))
+            r = rank(piece[before:after])
+            changed.append((size + before, NONE if r is None else r << digits | before))
+        for k, value in changed:
+            tree[k] = value
+            while k > 1:
+                other = tree[k ^ 1]
+                if other < value:
+                    value = other
+                k >>= 1
+                if tree[k] == value:
+                    break
+                tree[k] = value
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])
