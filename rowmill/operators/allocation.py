@@ -260,7 +260,8 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
     if active is not None:
         balances = balances.filter(F.col(active))
     keys = names(order)
-    net = legs.groupBy(*keys, "account").agg(F.sum("delta").alias("delta"), F.sum(F.least("delta", F.lit(0))).alias("_debit"))
+    moved = F.coalesce(F.sum("delta"), F.lit(0)).alias("delta")  # a null amount moves nothing
+    net = legs.groupBy(*keys, "account").agg(moved, F.sum(F.least("delta", F.lit(0))).alias("_debit"))
     net = materialize(net)
     room = F.col(balance) - F.coalesce(F.col(floor), F.lit(NO_FLOOR))
     rows, slices = _on_accounts(net, balances.select("account", room.alias("_room")), "left")
@@ -300,7 +301,7 @@ def settle(legs: DataFrame, balances: DataFrame, ident: str, order: list[str], b
             judged = still.select(*carried, F.when(F.col("_no"), False).when(F.col("_yes"), True).alias("accepted"),
                                   F.col("_lead").eqNullSafe(leg).alias("_lead"), (F.col("_felt") & ~F.col("_no")).alias("_kept"))
             judged = materialize(judged.filter("_kept OR (_lead AND accepted IS NOT NULL)"))
-            done.append(judged.filter("_lead AND accepted IS NOT NULL").select(ident, "accepted"))
+            done.append(judged.filter("_lead AND accepted IS NOT NULL").select(ident, "accepted").distinct())  # an account listed twice has its legs twice
             rows = judged.filter("_kept").select(*carried, F.col("accepted").isNotNull().alias("_sure"))
             stored.append(judged)
         else:
